@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmap.llm import packing, token_counts
+from quillmap.llm import mixing, packing, token_counts, topk, toxicity
 from quillmap.llm.common import table
 
 
@@ -13,10 +13,23 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op8_token_counts)}
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_source_mixing": mixing.SQL, "op7_exact_topk": topk.SQL}
