@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmap.llm import mixing, packing, token_counts, topk, toxicity
+from quillmap.llm import fingerprints, mixing, packing, token_counts, topk, toxicity
 from quillmap.llm.common import table
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,6 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts)}
 
 SQL: dict[str, str] = {"op5_source_mixing": mixing.SQL, "op7_exact_topk": topk.SQL}
