@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmap.llm import fingerprints, mixing, packing, token_counts, topk, toxicity
+from quillmap.llm import fingerprints, mixing, packing, pii, secrets, token_counts, topk, toxicity
 from quillmap.llm.common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts)}
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.with_surrogates(docs, count_col="n_entities")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts, op9_pii_surrogates)}
 
 SQL: dict[str, str] = {"op5_source_mixing": mixing.SQL, "op7_exact_topk": topk.SQL}
