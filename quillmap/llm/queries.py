@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmap.llm import fingerprints, mixing, packing, pii, secrets, token_counts, topk, toxicity
+from quillmap.llm import fingerprints, jaccard_join, mixing, packing, pii, secrets, token_counts, topk, toxicity
 from quillmap.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.with_surrogates(docs, count_col="n_entities")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts, op9_pii_surrogates)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts, op9_pii_surrogates, op10_jaccard_join)}
 
 SQL: dict[str, str] = {"op5_source_mixing": mixing.SQL, "op7_exact_topk": topk.SQL}
