@@ -30,10 +30,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/quillmap/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
+
+    free: lets Spark's cleaner, which acts when the driver has collected its garbage,
+    remove the shuffle files of jobs that are done.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    if free:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

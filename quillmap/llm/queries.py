@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmap.llm import fingerprints, jaccard_join, mixing, packing, pii, secrets, token_counts, topk, toxicity
+from quillmap.llm import fingerprints, jaccard_join, mixing, packing, pii, secrets, substring_dedup, token_counts, topk, toxicity
 from quillmap.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts, op9_pii_surrogates, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_fingerprints, op4_best_fit_packing, op5_source_mixing, op6_toxicity, op7_exact_topk, op8_token_counts, op9_pii_surrogates, op10_jaccard_join)}
 
-SQL: dict[str, str] = {"op5_source_mixing": mixing.SQL, "op7_exact_topk": topk.SQL}
+SQL: dict[str, str] = {"op2_substring_dedup": substring_dedup.SQL, "op5_source_mixing": mixing.SQL, "op7_exact_topk": topk.SQL}
