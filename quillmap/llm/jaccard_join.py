@@ -299,3 +299,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall:
     out = own.select("doc_id", "row", "set_key", "n").join(written(result, "classes"), "set_key", "left")
     class_id = F.coalesce("class_id", "row")
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").cast("long").alias("n_shingles"), (class_id == F.col("row")).alias("class_first"))
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs, all columns, that stand for their class; of repeated rows one."""
+    row = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text")) - 1)
+    stay = near_duplicates(docs.select("doc_id", "text"), **how).filter("class_first").select(F.col("class_id").alias("__row")).distinct()
+    kept = docs.withColumn("__row", row).join(stay, "__row", "left_semi").withColumn("__text", F.xxhash64("text"))
+    return kept.dropDuplicates(["__row", "__text"]).select(*docs.columns)
