@@ -138,3 +138,24 @@ def slices(lengths: list[int], most: int = 1_000_000):
         size += n
     if lo < len(lengths):
         yield lo, len(lengths)
+
+
+def pack_texts(batches):
+    """Texts, compressed for the shuffle; the other columns stay."""
+    import pyarrow as pa
+    import zstandard
+
+    z = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        packed = pa.array([None if t is None else z.compress(t.encode()) for t in b.column("text").to_pylist()], pa.binary())
+        names = [n for n in b.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(n)) for n in names), packed], [*names, "packed"])
+
+
+def unpack_texts(b):
+    """Row numbers and texts of a batch with packed texts, in slices."""
+    import zstandard
+
+    z, packed = zstandard.ZstdDecompressor(), b.column("packed").to_pylist()
+    for lo, hi in slices([3 * len(p or b"") for p in packed]):
+        yield range(lo, hi), [z.decompress(p).decode() if p is not None else "" for p in packed[lo:hi]]

@@ -4,8 +4,11 @@ The sets are the distinct word shingles of a text. Texts with equal sets are one
 from the start. Each run splits the sets recursively: a node of the recursion samples
 one or two of their tokens (coordinates of a minhash sketch, so that two sets share a
 token with probability of their Jaccard similarity), and sets with the same token go
-on together. Small buckets are compared by brute force on the sketches; buckets that
-stay large to the last level are dense groups and are linked to one member. Runs repeat
+on together. Small buckets are compared by brute force on the sketches. In a large
+bucket all sets are compared to one member, the pivot; those near it are linked to it,
+and those very near it go no further, for by the triangle inequality of the Jaccard
+distance whatever is similar to them is near the pivot as well. The rest is split on;
+buckets that are large on the last level are linked to one member. Runs repeat
 until a pair at the threshold is met with the target probability.
 
 Buckets only propose: proposed components are then compared exactly, all pairs within
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmap.llm.common import written
+from quillmap.llm.fast_tokens import pack_texts, unpack_texts
 from quillmap.llm.graph import components
 
 #: Minhash coordinates of 16 bits.
@@ -164,6 +168,21 @@ def _brute(similar: float):
     return run
 
 
+def _pivots(near: float, same: float):
+    """Rows of large buckets with their pivot: whether they are near it, and whether they stay."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            sids, pivots = (b.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "pivot"))
+            own, other = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(len(sids), -1) for c in ("sketch", "pivot_sketch"))
+            alike = (own == other).mean(1)
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("sid"), b.column("sketch"), b.column("pivot"), pa.array((alike >= near) & (sids != pivots)), pa.array((alike < same) & (sids != pivots))], ["path", "sid", "sketch", "pivot", "linked", "stays"])
+
+    return run
+
+
 def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMALL, seed: int = 1) -> DataFrame:
     """a, b: edges whose components hold the pairs that chosen paths find. sets: sid, sketch."""
     draw = random.Random(seed)
@@ -185,16 +204,21 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
         edges = found if edges is None else edges.unionByName(found)
         if heavy.isEmpty():
             return edges
-        large = written(rows.join(heavy, "path", "left_semi"), "large")
+        inside = rows.join(heavy, "path", "left_semi")
         if level == LEVELS:
             break
+        pivots = inside.groupBy("path").agg(F.min(F.struct("sid", "sketch")).alias("p")).select("path", F.col("p.sid").alias("pivot"), F.col("p.sketch").alias("pivot_sketch"))
+        met = inside.join(pivots, "path").select("path", "sid", "sketch", "pivot", "pivot_sketch")
+        judged = written(met.mapInArrow(_pivots(max(0.0, 2 * threshold - 1 - 0.1), threshold + 0.05), "path long, sid long, sketch binary, pivot long, linked boolean, stays boolean"), "judged")
+        edges = edges.unionByName(judged.filter("linked").select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
+        large = judged.filter("stays").select("path", "sid", "sketch")
         # the node samples its next coordinates by its own path: one, and by chance a second
         at = lambda k: F.pmod(F.xxhash64("path", F.lit(f"{level}:{k}")), F.lit(COORDINATES)).cast("int")
         second = F.pmod(F.xxhash64("path", F.lit(f"{level}:more")), F.lit(1_000_000)) < int(1_000_000 * (1 / threshold - 1))
         step = lambda c: F.xxhash64("path", c, token(c))
         rows = large.select("sid", "sketch", F.explode(F.filter(F.array(step(at(0)), F.when(second & (at(0) != at(1)), step(at(1)))), lambda x: x.isNotNull())).alias("path"))
-    hubs = large.groupBy("path").agg(F.min("sid").alias("b"))
-    return edges.unionByName(large.select("path", F.col("sid").alias("a")).join(hubs, "path").select("a", "b").filter("a <> b"))
+    hubs = inside.groupBy("path").agg(F.min("sid").alias("b"))
+    return edges.unionByName(inside.select("path", F.col("sid").alias("a")).join(hubs, "path").select("a", "b").filter("a <> b"))
 
 
 def similar_pairs(sets: list[np.ndarray], threshold: float, left: int | None = None) -> list[tuple[int, int]]:
@@ -234,13 +258,14 @@ def _shingle_rows(k: int):
         import xxhash
 
         for b in batches:
-            keep, out = [], []
-            for i, (t, key) in enumerate(zip(b.column("text").to_pylist(), b.column("set_key").to_pylist(), strict=True)):
-                s = shingles(t or "", k)
-                if xxhash.xxh3_128_digest(s.tobytes()) == key:
-                    keep.append(i)
-                    out.append(s.tobytes())
-            rest = pa.Table.from_batches([b]).drop_columns(["text", "set_key"]).take(pa.array(keep, pa.int64())).combine_chunks()
+            keep, out, wanted = [], [], b.column("set_key").to_pylist()
+            for at, texts in unpack_texts(b):
+                for i, t in zip(at, texts, strict=True):
+                    s = shingles(t, k)
+                    if xxhash.xxh3_128_digest(s.tobytes()) == wanted[i]:
+                        keep.append(i)
+                        out.append(s.tobytes())
+            rest = pa.Table.from_batches([b]).drop_columns(["packed", "set_key"]).take(pa.array(keep, pa.int64())).combine_chunks()
             yield from rest.append_column("shingles", pa.array(out, pa.binary())).to_batches()
 
     return run
@@ -288,7 +313,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall:
     candidates = candidates.join(sets.select(F.col("sid").alias("node"), "set_key", "n", "weight"), "node")
     blocks = candidates.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = written(candidates.join(blocks, "component").select(F.col("node").alias("sid"), "component", "set_key", "weight", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "members")
-    texts = rows.select(F.col("row").alias("sid"), "text").join(members, "sid").select("sid", "component", "set_key", "weight", "blocks", "block", "text")
+    packed = rows.select(F.col("row").alias("sid"), "text").mapInArrow(pack_texts, "sid long, packed binary")
+    # a merge join at every size, so that what holds for small inputs holds for large ones
+    texts = packed.join(members.hint("merge"), "sid").select("sid", "component", "set_key", "weight", "blocks", "block", "packed")
     shingled = texts.mapInArrow(_shingle_rows(k), "sid long, component long, weight long, blocks int, block int, shingles binary")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.concat_ws(":", F.col("component").cast("string"), F.least("block", o).cast("string"), F.greatest("block", o).cast("string")))
     dealt = shingled.select("sid", "block", "weight", "shingles", F.explode(pairs).alias("cell")).repartition("cell").sortWithinPartitions("cell")
