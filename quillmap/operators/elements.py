@@ -119,42 +119,41 @@ def estimate_tokens(text: Column, n_words: Column | None = None, per_word: float
     return ((n_words if n_words is not None else token_count(text)) * per_word).cast("int") + 4
 
 
+def _cut(most: int, overlap: int):
+    def run(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("position", kind="stable", ignore_index=True)
+        tokens = pdf["tokens"].tolist()
+        spans, begin, size = [], 0, 0
+        keep, kept = 0, 0  # where the overlap begins, and its tokens
+        for i, t in enumerate(tokens if sum(tokens) > most else []):
+            if size + t > most and i > begin:
+                spans.append((begin, i))
+                begin, size, keep, kept = keep, kept, i, 0
+            size, kept = size + t, kept + t
+            while kept > overlap and keep < i:
+                kept -= tokens[keep]
+                keep += 1
+        spans.append((begin, len(tokens)))
+        at = [(c, p, k) for c, (lo, hi) in enumerate(spans) for p, k in enumerate(range(lo, hi))]
+        rows = pdf.iloc[[k for _, _, k in at]]
+        return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "chunk_index": [c for c, _, _ in at], "pos": [p for _, p, _ in at], "id": rows["id"].to_numpy(), "tokens": rows["tokens"].to_numpy()})
+
+    return run
+
+
 def chunk_elements(elements: DataFrame, most: int = 384, overlap: int = 128) -> DataFrame:
     """doc_id, chunk_index, pos, id, tokens: elements in position order cut into chunks.
 
     A document within `most` tokens is one chunk. Otherwise an element that would pass
     `most` starts the next chunk, which begins with the elements kept for overlap; these
     are then cleared. The overlap is what was added last, its oldest going while it has
-    more than `overlap` tokens and one element. Three numbers carry the fold's state:
-    where the chunk and the overlap begin and their tokens.
+    more than `overlap` tokens and one element. One document's elements are folded in
+    one group; documents go to different tasks.
     """
-    own = elements.withColumn("tokens", estimate_tokens(F.col("text")))
-    docs = own.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("position", "id", "tokens"))).alias("es"))
-    docs = docs.withColumn("ts", F.transform("es", lambda e: e["tokens"])).withColumn("all", F.aggregate("ts", F.lit(0), lambda a, x: a + x))
-    # running sums: tokens before each element
-    docs = docs.withColumn("sums", F.aggregate("ts", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))))
-    piece = "array<struct<begin:int,finish:int>>"
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("begin"), F.lit(0).alias("chunk_tokens"), F.lit(0).alias("keep"), F.lit(0).alias("keep_tokens"), F.array().cast(piece).alias("out"))
-
-    def step(acc: Column, t: Column) -> Column:
-        i = acc["i"]
-        full = (acc["chunk_tokens"] + t > most) & (i > acc["begin"])
-        begin = F.when(full, acc["keep"]).otherwise(acc["begin"])
-        chunk_tokens = F.when(full, acc["keep_tokens"]).otherwise(acc["chunk_tokens"]) + t
-        first = F.when(full, i).otherwise(acc["keep"])
-        kept = F.when(full, F.lit(0)).otherwise(acc["keep_tokens"]) + t
-        # the oldest go until at most `overlap` tokens or one element are left
-        over = F.filter(F.sequence(first, i), lambda k: (F.get(F.col("sums"), i + 1) - F.get(F.col("sums"), k) <= overlap) | (k == i))
-        keep = F.when(kept > overlap, F.element_at(over, 1)).otherwise(first)
-        out = F.when(full, F.concat(acc["out"], F.array(F.struct(acc["begin"].alias("begin"), i.alias("finish"))))).otherwise(acc["out"])
-        return F.struct((i + 1).alias("i"), begin.alias("begin"), chunk_tokens.alias("chunk_tokens"), keep.alias("keep"), (F.get(F.col("sums"), i + 1) - F.get(F.col("sums"), keep)).alias("keep_tokens"), out.alias("out"))
-
-    folded = F.aggregate("ts", start, step)
-    last = lambda s: F.concat(s["out"], F.array(F.struct(s["begin"].alias("begin"), s["i"].alias("finish"))))
-    whole = F.array(F.struct(F.lit(0).alias("begin"), F.size("es").alias("finish")))
-    docs = docs.withColumn("state", F.when(F.col("all") > most, folded)).withColumn("chunks", F.when(F.col("state").isNull(), whole).otherwise(last(F.col("state"))))
-    each = docs.select("doc_id", "es", F.posexplode("chunks").alias("chunk_index", "c"))
-    return each.select("doc_id", "chunk_index", F.posexplode(F.slice("es", F.col("c.begin") + 1, F.col("c.finish") - F.col("c.begin"))).alias("pos", "e")).select("doc_id", "chunk_index", "pos", "e.id", "e.tokens")
+    own = elements.select("doc_id", "position", "id", estimate_tokens(F.col("text")).alias("tokens"))
+    return own.groupBy("doc_id").applyInPandas(_cut(most, overlap), f"doc_id {elements.schema['doc_id'].dataType.simpleString()}, chunk_index int, pos int, id {elements.schema['id'].dataType.simpleString()}, tokens int")
 
 
 def chunk_info(chunks: DataFrame) -> DataFrame:

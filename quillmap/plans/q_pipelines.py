@@ -1,0 +1,67 @@
+"""Queries of the end-user pipelines over all invoices."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quillmap.fixtures import fields_inv, table, words_inv
+from quillmap.operators import quality as q
+from quillmap.plans import pipelines as p
+from quillmap.plans.registry import query
+
+SHOWN = ["doc_id", "position", "id", "text", "x0", "y0", "x1", "y1", "field_name", "page", "confidence"]
+
+
+@query()
+def single_page(spark, d):
+    return p.single_page(fields_inv(spark, d), words_inv(spark, d)).select(*SHOWN)
+
+
+@query()
+def items_via_table(spark, d):
+    return p.items_via_table(fields_inv(spark, d), words_inv(spark, d)).select("doc_id", "item_idx", "ord", "word_idx", "match_score")
+
+
+@query()
+def multi_page(spark, d):
+    w = words_inv(spark, d).withColumn("page", F.when(F.col("y0") >= 300, 1).otherwise(0))
+    return p.multi_page(fields_inv(spark, d), w).select(*SHOWN)
+
+
+@query()
+def process_batch(spark, d):
+    done = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("doc_id"))
+    return p.process_batch(fields_inv(spark, d), words_inv(spark, d), done)
+
+
+@query()
+def enrich_fields(spark, d):
+    return p.enrich_fields(fields_inv(spark, d), words_inv(spark, d))
+
+
+@query()
+def enhance_match(spark, d):
+    from quillmap.operators.matching import match_exact
+
+    w = words_inv(spark, d)
+    return p.enhance_match(p.with_box_id(match_exact(fields_inv(spark, d), w)), w, w).select("doc_id", "box_id", "x0", "y0", "x1", "y1", F.round("confidence", 9).alias("confidence"))
+
+
+@query()
+def reprocess(spark, d):
+    return p.reprocess(fields_inv(spark, d), words_inv(spark, d)).select(*SHOWN)
+
+
+@query()
+def optimized_pipeline(spark, d):
+    return p.optimized_pipeline(fields_inv(spark, d), words_inv(spark, d)).select(*SHOWN)
+
+
+@query()
+def document_metadata(spark, d):
+    from quillmap.operators.elements import document_stats
+    from quillmap.operators.matching import match_exact
+
+    f, w = fields_inv(spark, d), words_inv(spark, d)
+    found = match_exact(f, w)
+    return q.document_metadata(q.match_rates(f, found), q.extraction_stats(w), document_stats(found.withColumn("id", F.col("word_idx"))))
