@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmap.llm.common import written
-from quillmap.llm.fast_tokens import slices
+from quillmap.llm.fast_tokens import pack_texts, unpack_texts
 from quillmap.llm.jaccard_join import _split, word_hashes
 
 #: Words of the n-grams among which a window's minimiser is the least.
 GRAM = 5
 #: Words of distinct segments in a shard's index, at most: larger shards are indexed in parts.
-SHARD_WORDS = 200_000
+SHARD_WORDS = 100_000
+#: Places of the stream that are searched at a time.
+QUERIES = 100_000
 #: Bytes of a word's hash in a segment.
 SYMBOL = 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -93,10 +95,9 @@ class FMIndex:
         at = np.minimum(np.searchsorted(self.alphabet, symbols), max(len(self.alphabet) - 1, 0))
         return np.where(self.alphabet[at] == symbols, at + 1, 0) if len(self.alphabet) else np.zeros(len(symbols), np.int64)
 
-    def matches(self, symbols: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Matching statistics: for each end, the length up to `most` of the longest match that ends
+    def matches(self, codes: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Matching statistics of a stream of codes: for each end, the length up to `most` of the longest match that ends
         before it, and the least number among the sequences with a match of length `most`."""
-        codes = self.codes(symbols)
         length, least = np.zeros(len(ends), np.int64), np.full(len(ends), _NONE)
         live = np.arange(len(ends))
         lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), self.before[-1])
@@ -146,27 +147,6 @@ def _minimiser_rows(window: int):
     return run
 
 
-def _pack(batches):
-    """Texts, compressed for the shuffle; the other columns stay."""
-    import pyarrow as pa
-    import zstandard
-
-    z = zstandard.ZstdCompressor(level=1)
-    for b in batches:
-        packed = pa.array([None if t is None else z.compress(t.encode()) for t in b.column("text").to_pylist()], pa.binary())
-        names = [n for n in b.schema.names if n != "text"]
-        yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(n)) for n in names), packed], [*names, "packed"])
-
-
-def _texts(b):
-    """Row numbers and texts of a batch with packed texts, in slices."""
-    import zstandard
-
-    z, packed = zstandard.ZstdDecompressor(), b.column("packed").to_pylist()
-    for lo, hi in slices([3 * len(p or b"") for p in packed]):
-        yield range(lo, hi), [z.decompress(p).decode() if p is not None else "" for p in packed[lo:hi]]
-
-
 def _segment_rows(window: int):
     """Runs of windows with one shared minimiser: their words, the first window's place."""
 
@@ -175,7 +155,7 @@ def _segment_rows(window: int):
 
         for b in batches:
             tks, los, lists = (b.column(c).to_pylist() for c in ("tk", "lo", "fps"))
-            for at, texts in _texts(b):
+            for at, texts in unpack_texts(b):
                 out = []
                 for i, t in zip(at, texts, strict=True):
                     h = word_hashes(t)
@@ -207,7 +187,8 @@ def _searcher(window: int):
         windows = sizes - window + 1
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        _, least = index.matches(np.concatenate(sequences), np.repeat(starts, windows) + within + window, window)
+        codes, ends = index.codes(np.concatenate(sequences)), np.repeat(starts, windows) + within + window
+        least = np.concatenate([index.matches(codes, ends[lo : lo + QUERIES], window)[1] for lo in range(0, len(ends), QUERIES)])
         return pd.DataFrame({"segment_key": pdf["segment_key"], "least": np.split(least, np.cumsum(windows)[:-1])})
 
     return run
@@ -220,10 +201,11 @@ def covered_windows(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataF
     docs: doc_id (not null), tk (a digest of the text), text.
     """
     firsts = written(docs.groupBy("tk").agg(F.min("doc_id").alias("lo")), "firsts")
-    fps = docs.select("tk", "text").mapInArrow(_minimiser_rows(window), "tk long, fps array<long>").select("tk", F.explode("fps").alias("fp"))
+    listed = written(docs.select("tk", "text").mapInArrow(_minimiser_rows(window), "tk long, fps array<long>"), "minimisers")
+    fps = listed.select("tk", F.explode("fps").alias("fp"))
     shared = written(fps.groupBy("fp").agg(F.min("tk").alias("a"), F.max("tk").alias("b")).filter("a <> b").select("fp"), "shared", free=True)
     own = written(fps.join(shared, "fp").groupBy("tk").agg(F.collect_set("fp").alias("fps")).join(firsts, "tk"), "own", free=True)
-    packed = docs.select("doc_id", "tk", "text").mapInArrow(_pack, "doc_id long, tk long, packed binary")
+    packed = docs.select("doc_id", "tk", "text").mapInArrow(pack_texts, "doc_id long, tk long, packed binary")
     first = packed.join(own, "tk").filter(F.col("doc_id") == F.col("lo")).select("tk", "lo", "fps", "packed")
     segments = written(first.mapInArrow(_segment_rows(window), "tk long, lo long, start int, fp long, segment binary"), "segments", free=True)
     words = segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
@@ -246,7 +228,7 @@ def _cutter(window: int):
 
         for b in batches:
             ids, copies, lists = (b.column(c).to_pylist() for c in ("doc_id", "copy", "windows"))
-            for at, texts in _texts(b):
+            for at, texts in unpack_texts(b):
                 out = []
                 for i, t in zip(at, texts, strict=True):
                     words = [w for w in _split(t) if w]
@@ -275,7 +257,7 @@ def remove_repeated(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tk", F.xxhash64(F.coalesce("text", F.lit(""))))
     firsts, covered = covered_windows(rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()), window)
     known = firsts.join(covered, "tk", "left")
-    packed = rows.select("doc_id", "tk", "text").mapInArrow(_pack, "doc_id long, tk long, packed binary").join(known, "tk", "left")
+    packed = rows.select("doc_id", "tk", "text").mapInArrow(pack_texts, "doc_id long, tk long, packed binary").join(known, "tk", "left")
     numbered = F.col("doc_id").isNotNull()
     judged = packed.select("doc_id", "packed", F.coalesce(F.col("doc_id") > F.col("lo"), F.lit(False)).alias("copy"), F.when(numbered, F.col("windows")).alias("windows"))
     return judged.mapInArrow(_cutter(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
