@@ -1,0 +1,160 @@
+"""Operators on small tables with nulls, empty texts, repeated rows, clashing columns and no rows at all."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillmap.llm import fingerprints, jaccard_join, mixing, packing, pii, secrets, substring_dedup, token_counts, topk, toxicity
+
+W = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+LONG = " ".join(W)
+ROWS = [
+    (1, LONG, "en", "a", 5, "x"), (2, LONG, "en", "a", 5, "x"), (3, "start " + LONG, "de", "b", 5, "x"), (4, None, None, None, None, None), (5, "", "en", "b", 0, "x"), (6, " \n", "en", None, 2, "x"),
+    (7, "mail ann.86@mail8.example.com or call +1 (743) 555-3824", "en", "c", 5, "x"), (7, "mail ann.86@mail8.example.com or call +1 (743) 555-3824", "en", "c", 5, "x"), (None, "no id here", "en", "c", 5, "x"), (8, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "en", "c", 5, "x"), (9, ("long " * 6000).strip(), "en", "a", 5, "x"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, n_chars long, score string")
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def test_counts(docs, none, tmp_path):
+    cache = "file://" + str(tmp_path / "cache")
+    got = {(r["doc_id"], r["n_tokens"]) for r in token_counts.count_tokens(docs, cache_path=cache).collect()}
+    from quillmap.llm.fast_tokens import load
+
+    lib = load("byte_bpe_50k.json").library
+    assert got == {(r[0], len(lib.encode(r[1] or "", add_special_tokens=False).ids)) for r in ROWS}
+    before = docs.sparkSession.read.parquet(cache + "/*").count()
+    assert token_counts.count_tokens(docs, cache_path=cache).count() == len(ROWS)
+    assert docs.sparkSession.read.parquet(cache + "/*").count() == before  # nothing was encoded again
+    assert token_counts.count_tokens(none).count() == 0
+
+
+def test_packing(docs, none):
+    rows = packing.pack_documents(docs.drop("score")).toPandas()
+    assert rows.groupby("sequence_id")["length"].sum().max() <= 4096
+    assert rows["sequence_id"].nunique() == -(-rows["length"].sum() // 4096)
+    assert (rows[rows["doc_id"] == 4]["length"] == 1).all() and len(rows[rows["doc_id"] == 7]) == 2
+    assert packing.pack_documents(none).count() == 0
+
+
+def test_mixing(docs, none):
+    rows = mixing.mix_plan(docs).toPandas()
+    assert len(rows) == len(ROWS) and (rows["taken"] <= 3 * rows["size"]).all()
+    assert rows["size"].tolist().count(0) == 3
+    assert mixing.mix(docs).columns == docs.columns and mixing.mix_plan(none).count() == 0
+
+
+def test_targets_stop_at_three_times(spark):
+    sizes = spark.createDataFrame([("a", 1000), ("b", 1), ("c", 1)], "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
+    assert got == {"a": 996.0, "b": 3.0, "c": 3.0}
+
+
+def test_substring_dedup(docs, none):
+    got = sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeated(docs).collect()))
+    assert got == sorted(plain_dedup())
+    assert substring_dedup.remove_repeated(none).count() == 0
+
+
+def plain_dedup(n=13):
+    first = {}
+    for i, t, *_ in ROWS:
+        w = words(t)
+        for k in range(len(w) - n + 1) if i is not None else ():
+            first[tuple(w[k : k + n])] = min(i, first.get(tuple(w[k : k + n]), i))
+    for i, t, *_ in ROWS:
+        w, gone = words(t), set()
+        for k in range(len(w) - n + 1) if i is not None else ():
+            if first[tuple(w[k : k + n])] < i:
+                gone |= set(range(k, k + n))
+        yield i or 0, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)
+
+
+def test_fingerprints(docs, none):
+    rows = fingerprints.fingerprint_documents(docs, 3).collect()
+    assert len(rows) == len(ROWS)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[1]["fingerprint"] == by[2]["fingerprint"] and by[1]["near_next"] == 1.0
+    import hashlib
+
+    text = {r[0]: r[1] or "" for r in ROWS}
+    k = len(text[2]) // 4
+    assert by[2]["edited_sha256"] == hashlib.sha256((text[2][: len(text[2]) - k] + text[3][:k]).encode()).hexdigest()
+    assert fingerprints.fingerprint_documents(none).count() == 0
+
+
+def test_near_duplicates(docs, none):
+    got = jaccard_join.near_duplicates(docs).collect()
+    assert len(got) == len(ROWS)
+    by = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in got}
+    assert by[1] == by[2] == (1, 2) and by[3] == (1, 2) and by[4] == (4, 0) and by[7] == (7, 1) and by[5] == (5, 0)
+    kept = jaccard_join.keep_one(docs)
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 5, 6, 7, 8, 9] and kept.columns == docs.columns
+    assert jaccard_join.near_duplicates(none).count() == 0
+
+
+def test_pii(docs, none):
+    rows = pii.with_surrogates(docs, count_col="n").collect()
+    by = {r["doc_id"]: r for r in rows}
+    assert by[7]["n"] == 2 and "ann.86" not in by[7]["text"] and re.fullmatch(r"mail \w{3}\.\d\d@\w+\.example\.com or call \+1 \(\d{3}\) \d{3}-\d{4}", by[7]["text"])
+    assert by[1]["text"] == LONG and by[4]["text"] is None and by[8]["n"] == 0
+    assert pii.with_surrogates(none).columns == docs.columns and pii.with_surrogates(none).count() == 0
+
+
+def test_pii_distinct_and_luhn(spark):
+    ips = spark.createDataFrame([(i, f"at 10.0.{i // 250}.{i % 250} card 4111 1111 1111 1111") for i in range(500)], "doc_id long, text string")
+    texts = [r["text"] for r in pii.with_surrogates(ips).collect()]
+    assert len({t.split()[1] for t in texts}) == 500 and len({t.split("card ")[1] for t in texts}) == 1
+    digits = [int(c) for c in texts[0].split("card ")[1].replace(" ", "")][::-1]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_secrets(docs, none):
+    model = secrets.train(secrets.labelled_findings(docs.sparkSession, 1500))
+    got = [r for r in secrets.scan(docs, model).collect() if r["is_secret"]]
+    assert [(r["doc_id"], r["start"], r["length"]) for r in got] == [(8, 9, 40)]
+    assert secrets.scan(none, model).count() == 0
+    held = secrets.labelled_findings(docs.sparkSession, 4000).filter("label IS NOT NULL").filter(F.col("candidate").isNotNull())
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = held.select(*secrets.features(F.col("candidate"), F.col("before"), F.col("after"), F.col("path")), "label")
+    scored = model.transform(VectorAssembler(inputCols=[f"f_{k}" for k in secrets.FEATURES], outputCol="features").transform(rows))
+    assert scored.filter("label = prediction").count() / rows.count() > 0.95
+
+
+def test_toxicity(spark, none):
+    rows = [(i, f"plain words number {i % 7} " + ("awful scum" if i % 3 == 0 else "good day")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    got = toxicity.score_documents(docs, labels).toPandas()
+    assert ((got["doc_id"] % 3 == 0) == (got["predicted"] == 1)).mean() > 0.95
+    assert toxicity.score_documents(none, labels).count() == 0
+    assert set(toxicity.score_documents(docs, labels.limit(0)).toPandas()["score"]) == {0.5}
+
+
+def test_top_k(spark):
+    rows = [(i, [float(i % 7) / 7, float(i % 5) / 5 - 0.5, 0.25]) for i in range(120)] + [(120, None), (121, [float("nan"), 0.0, 0.0]), (122, [1.0, None, 0.0]), (123, [])]
+    v = topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = topk.top_k(v, v.filter("vec_id % 50 = 0")).collect()
+    import math
+
+    whole = {i: [math.floor(256 * x) for x in e] for i, e in rows[:120]}
+    want = []
+    for q in (0, 50, 100):
+        s = {i: sum(a * b for a, b in zip(whole[q], e, strict=True)) for i, e in whole.items() if i != q}
+        want += [(q, k + 1, i, s[i]) for k, i in enumerate(sorted(s, key=lambda i: (-s[i], i))[:5])]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == want
+    assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
