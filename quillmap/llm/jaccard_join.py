@@ -204,7 +204,7 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
         edges = found if edges is None else edges.unionByName(found)
         if heavy.isEmpty():
             return edges
-        inside = rows.join(heavy, "path", "left_semi")
+        inside = written(rows.join(heavy, "path", "left_semi"), "large")
         if level == LEVELS:
             break
         pivots = inside.groupBy("path").agg(F.min(F.struct("sid", "sketch")).alias("p")).select("path", F.col("p.sid").alias("pivot"), F.col("p.sketch").alias("pivot_sketch"))
