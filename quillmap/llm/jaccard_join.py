@@ -216,7 +216,8 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
         at = lambda k: F.pmod(F.xxhash64("path", F.lit(f"{level}:{k}")), F.lit(COORDINATES)).cast("int")
         second = F.pmod(F.xxhash64("path", F.lit(f"{level}:more")), F.lit(1_000_000)) < int(1_000_000 * (1 / threshold - 1))
         step = lambda c: F.xxhash64("path", c, token(c))
-        rows = large.select("sid", "sketch", F.explode(F.filter(F.array(step(at(0)), F.when(second & (at(0) != at(1)), step(at(1)))), lambda x: x.isNotNull())).alias("path"))
+        # written, as the next level reads them for sizes, small buckets and large ones
+        rows = written(large.select("sid", "sketch", F.explode(F.filter(F.array(step(at(0)), F.when(second & (at(0) != at(1)), step(at(1)))), lambda x: x.isNotNull())).alias("path")), "split")
     hubs = inside.groupBy("path").agg(F.min("sid").alias("b"))
     return edges.unionByName(inside.select("path", F.col("sid").alias("a")).join(hubs, "path").select("a", "b").filter("a <> b"))
 
