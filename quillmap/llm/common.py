@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own: dict[str, str] = {}
+_caches: list[dict] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,6 +44,39 @@ def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cache() -> dict:
+    """A worker's cache, which release() empties."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def release() -> None:
+    """Empties the caches and gives the memory that is free now back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    for c in _caches:
+        c.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library, which does without
+        pass
+
+
+def released(run):
+    """run, over Arrow batches, with release() after a task: idle workers share an executor's memory with the stages that follow."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmap.llm.common import written
+from quillmap.llm.common import cache, released, written
 from quillmap.llm.fast_tokens import pack_texts, unpack_texts
 from quillmap.llm.graph import components
 
@@ -41,7 +41,7 @@ _rng = np.random.default_rng(2018)
 _A = _rng.integers(1, 2**63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, COORDINATES, np.uint64)
 
-_words: dict[str, int] = {}
+_words: dict[str, int] = cache()
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -200,7 +200,7 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
     for level in range(1, LEVELS + 1):
         heavy = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > small).select("path"), "heavy")
         light = rows.join(heavy, "path", "left_anti")
-        found = written(light.repartition("path").sortWithinPartitions("path").select("path", "sid", "sketch").mapInArrow(_brute(max(0.0, threshold - 0.2)), "a long, b long"), "proposed")
+        found = written(light.repartition("path").sortWithinPartitions("path").select("path", "sid", "sketch").mapInArrow(released(_brute(max(0.0, threshold - 0.2))), "a long, b long"), "proposed")
         edges = found if edges is None else edges.unionByName(found)
         if heavy.isEmpty():
             return edges
@@ -209,7 +209,7 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
             break
         pivots = inside.groupBy("path").agg(F.min(F.struct("sid", "sketch")).alias("p")).select("path", F.col("p.sid").alias("pivot"), F.col("p.sketch").alias("pivot_sketch"))
         met = inside.join(pivots, "path").select("path", "sid", "sketch", "pivot", "pivot_sketch")
-        judged = written(met.mapInArrow(_pivots(max(0.0, 2 * threshold - 1 - 0.1), threshold + 0.05), "path long, sid long, sketch binary, pivot long, linked boolean, stays boolean"), "judged")
+        judged = written(met.mapInArrow(released(_pivots(max(0.0, 2 * threshold - 1 - 0.1), threshold + 0.05)), "path long, sid long, sketch binary, pivot long, linked boolean, stays boolean"), "judged")
         edges = edges.unionByName(judged.filter("linked").select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
         large = judged.filter("stays").select("path", "sid", "sketch")
         # the node samples its next coordinates by its own path: one, and by chance a second
@@ -308,19 +308,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall:
     """
     row = F.coalesce(F.col(id_col).cast("long"), -F.abs(F.xxhash64(text_col)) - 1)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).alias("text"))
-    own = written(rows.mapInArrow(_sets(k), "doc_id long, row long, set_key binary, n int, sketch binary"), "sets")
+    own = written(rows.mapInArrow(released(_sets(k)), "doc_id long, row long, set_key binary, n int, sketch binary"), "sets")
     sets = written(own.filter(F.col("set_key").isNotNull()).groupBy("set_key", "n", "sketch").agg(F.min("row").alias("sid"), F.count(F.lit(1)).alias("weight")), "distinct-sets")
     candidates = components(proposals(sets.select("sid", "sketch"), threshold, recall))
     candidates = candidates.join(sets.select(F.col("sid").alias("node"), "set_key", "n", "weight"), "node")
     blocks = candidates.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = written(candidates.join(blocks, "component").select(F.col("node").alias("sid"), "component", "set_key", "weight", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "members")
-    packed = rows.select(F.col("row").alias("sid"), "text").mapInArrow(pack_texts, "sid long, packed binary")
+    packed = rows.select(F.col("row").alias("sid"), "text").mapInArrow(released(pack_texts), "sid long, packed binary")
     # a merge join at every size, so that what holds for small inputs holds for large ones
     texts = packed.join(members.hint("merge"), "sid").select("sid", "component", "set_key", "weight", "blocks", "block", "packed")
-    shingled = texts.mapInArrow(_shingle_rows(k), "sid long, component long, weight long, blocks int, block int, shingles binary")
+    shingled = texts.mapInArrow(released(_shingle_rows(k)), "sid long, component long, weight long, blocks int, block int, shingles binary")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.concat_ws(":", F.col("component").cast("string"), F.least("block", o).cast("string"), F.greatest("block", o).cast("string")))
     dealt = shingled.select("sid", "block", "weight", "shingles", F.explode(pairs).alias("cell")).repartition("cell").sortWithinPartitions("cell")
-    linked = written(dealt.select("cell", "sid", "block", "weight", "shingles").mapInArrow(_exact(threshold), "sid long, links long, root long"), "linked")
+    linked = written(dealt.select("cell", "sid", "block", "weight", "shingles").mapInArrow(released(_exact(threshold)), "sid long, links long, root long"), "linked")
     classes = components(linked.select(F.col("sid").alias("a"), F.col("root").alias("b")))
     links = linked.groupBy("sid").agg(F.sum("links").alias("links"))
     result = sets.join(links, "sid", "left").join(classes.withColumnRenamed("node", "sid"), "sid", "left").select("set_key", F.coalesce("component", "sid").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))

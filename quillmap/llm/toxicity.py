@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmap.llm.common import cache, release, released
+
 #: Buckets of the feature hash, and so the most weights there can be.
 BITS = 22
 #: Most labelled rows that training takes, the first by a hash of their id.
@@ -24,7 +26,7 @@ _TOKENS = re.compile(r"[^\W_]+")
 #: The two words' distances of the features besides single words: a bigram and two skip-grams.
 GAPS = (1, 2, 3)
 
-_words: dict[str, int] = {}
+_words: dict[str, int] = cache()
 
 
 def features(text: str) -> np.ndarray:
@@ -81,6 +83,7 @@ def _trainer(pdf):
     pdf = pdf.sort_values(["order", "doc_id"], kind="stable", ignore_index=True)
     texts = pdf["text"]
     at, w = train(lambda i: texts.iloc[i] or "", pdf["label"])
+    release()
     return pd.DataFrame({"feature": at.astype(np.int64), "weight": w})
 
 
@@ -132,7 +135,7 @@ class ToxicityModel:
 
     def scores(self, docs: DataFrame) -> DataFrame:
         """doc_id, score per row; a null text is the empty one."""
-        return docs.select("doc_id", "text").mapInArrow(self.scorer(), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+        return docs.select("doc_id", "text").mapInArrow(released(self.scorer()), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
     def filter(self, docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         """The rows of docs, all columns, that score below the threshold."""
@@ -146,7 +149,7 @@ class ToxicityModel:
                 (s,) = score([pa.RecordBatch.from_arrays([b.column(b.schema.names.index("text"))], ["text"])])
                 yield b.filter(pa.compute.less(s.column("score"), threshold))
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(released(run), docs.schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
