@@ -15,6 +15,8 @@ import re
 import unicodedata
 from array import array
 
+from quillmap.llm.common import release
+
 #: Code points for which the split below is known to be the library's.
 _SAFE = "\t\n\r" + "".join(map(chr, [*range(0x20, 0x7F), *range(0xA0, 0x180)]))
 _SAFE_ONLY = re.compile(f"[{re.escape(_SAFE)}]*")
@@ -33,7 +35,7 @@ _SPLIT = {
     "words": re.compile(f"{_CLITICS}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+"),
 }
 #: Most cached pre-tokens; beyond it the cache starts anew (results are the same).
-CACHED = 400_000
+CACHED = 50_000
 
 _loaded: dict[str, "FastTokens"] = {}
 
@@ -59,6 +61,7 @@ def load(name: str) -> "FastTokens":
     """One for each Python worker and name."""
     if name not in _loaded:
         _loaded[name] = FastTokens(name)
+        release()  # what parsing the file took
     return _loaded[name]
 
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmap.llm.common import written
+from quillmap.llm.common import released, written
 from quillmap.llm.fast_tokens import load, slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -28,7 +28,7 @@ def _cutter(tokenizer: str, end_id: int, most: int):
         fast, end = load(tokenizer), np.uint32(end_id).tobytes()
         for b in batches:
             ids, texts = b.column("doc_id").to_pylist(), [t or "" for t in b.column("text").to_pylist()]
-            for lo, hi in slices([len(t) for t in texts]):
+            for lo, hi in slices([len(t) for t in texts], 250_000):
                 out: list[tuple] = []
                 for doc, own in zip(ids[lo:hi], fast.encode(texts[lo:hi]), strict=True):
                     own = memoryview(own + end)
@@ -131,7 +131,7 @@ def cut(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
     A null text is empty and still has its end id. Only documents of more than
     max_tokens are cut. Null ids and repeated rows are kept; other columns are ignored.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_cutter(tokenizer, end_id, max_tokens), PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(released(_cutter(tokenizer, end_id, max_tokens)), PIECES)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", max_tokens: int = 4096, **how) -> DataFrame:
