@@ -44,6 +44,17 @@ def partial_ratio_of(a: str, b: str) -> float:
     return best
 
 
+def partial_ratio_from(a: str, b: str, least: float) -> float:
+    """partial_ratio_of where that is `least` or more, else 0: no window shares more than the whole texts do."""
+    if len(a) > len(b):
+        a, b = b, a
+    common = lcs_length(a, b)
+    if a and 200.0 * common / (len(a) + common) < least:
+        return 0.0
+    score = 100.0 if a and a in b else partial_ratio_of(a, b)
+    return score if score >= least else 0.0
+
+
 def _each(f, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
@@ -58,6 +69,16 @@ def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return _each(partial_ratio_of, a, b)
 
 
+def partial_ratio_at(least: float):
+    """partial_ratio as far as it reaches `least`, 0 below."""
+
+    @pandas_udf(DoubleType())
+    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
+        return _each(lambda x, y: partial_ratio_from(x, y, least), a, b)
+
+    return scored
+
+
 def token_sort(c: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(c, r"\s+"), lambda x: x != "")), " ")
 

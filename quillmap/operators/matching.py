@@ -105,9 +105,14 @@ def match_five_strategy(fields: DataFrame, words: DataFrame) -> DataFrame:
     own = fields.filter(present(F.col("value"))).select(*FIELD).withColumn("norm", normalize_text_keep_points(F.col("value")))
     pairs = own.join(words, "doc_id").withColumn("wnorm", normalize_text_keep_points(F.col("text"))).filter((F.col("norm") != "") & (F.col("wnorm") != ""))
     q, w = F.col("norm"), F.col("wnorm")
-    distinct = pairs.select("norm", "wnorm").distinct()
     long_both = (F.length(q) >= 8) & (w.contains(q) | q.contains(w))
-    scored = distinct.withColumn("ratio", s.similarity_ratio("norm", "wnorm")).withColumn("partial", s.partial_ratio("norm", "wnorm")).withColumn("sorted", s.similarity_ratio(s.token_sort(q), s.token_sort(w)))
+    # only what can reach a strategy's least score is compared: the others' scores would not be used
+    sorted_q, sorted_w = s.token_sort(q), s.token_sort(w)
+    near, long_value = s.may_reach(F.length(q), F.length(w), 70), F.length(q) > 10
+    near_sorted = ((sorted_q != q) | (sorted_w != w)) & s.may_reach(F.length(sorted_q), F.length(sorted_w), 75)
+    pairs = pairs.filter((q == w) | long_both | near | long_value | near_sorted)
+    distinct = pairs.select("norm", "wnorm").distinct()
+    scored = distinct.withColumn("ratio", s.similarity_ratio(F.when(near, q), w)).withColumn("partial", s.partial_ratio_at(75)(F.when(long_value, q), w)).withColumn("sorted", s.similarity_ratio(F.when(near_sorted, sorted_q), sorted_w))
     pick = [(q == w, F.lit(100.0), "exact"), (long_both, F.lit(95.0), "substring"), (F.col("ratio") >= 70, F.col("ratio"), "ratio"), ((F.length(q) > 10) & (F.col("partial") >= 75), F.col("partial"), "partial"), (F.col("sorted") >= 75, F.col("sorted"), "token_sort")]
     best = F.array_max(F.array(*(F.when(ok, F.struct(score.alias("score"), F.lit(-k).alias("k"), F.lit(name).alias("strategy"))) for k, (ok, score, name) in enumerate(pick))))
     scored = scored.withColumn("best", best).filter("best IS NOT NULL").select("norm", "wnorm", "best.score", "best.strategy")

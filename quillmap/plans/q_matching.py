@@ -111,7 +111,7 @@ def match_fields(spark, d):
 
 @query()
 def match_five_strategy(spark, d):
-    return m.match_five_strategy(fields_inv(spark, d).filter("section = 'header'"), words_inv(spark, d))
+    return m.match_five_strategy(fields_inv(spark, d), words_inv(spark, d))
 
 
 @query()
