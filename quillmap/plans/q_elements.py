@@ -104,26 +104,50 @@ def reading_order(spark, d):
     return e.reading_order(elements(spark, d)).select("doc_id", "id", "position")
 
 
-def _split_sql(width: str, gap: str) -> str:
-    return rf"""SELECT doc_id, ord, CAST(i-1 AS INT) AS i, ws[i] AS word, CASE WHEN len(ws)=1 THEN 100 ELSE CAST(100+coalesce(list_sum(list_transform(ws[1:i-1], lambda v: {width.format('v')}+{gap})),0) AS INT) END AS x0,
+_HEADER, _FIELD = "section='header' AND ", "doc_id, section, item_idx, ord"
+
+
+def _split_sql(width: str, gap: str, keys: str = "doc_id, ord", only: str = _HEADER) -> str:
+    return rf"""SELECT {keys}, CAST(i-1 AS INT) AS i, ws[i] AS word, CASE WHEN len(ws)=1 THEN 100 ELSE CAST(100+coalesce(list_sum(list_transform(ws[1:i-1], lambda v: {width.format('v')}+{gap})),0) AS INT) END AS x0,
  CASE WHEN len(ws)=1 THEN 400 ELSE CAST(least(100+coalesce(list_sum(list_transform(ws[1:i-1], lambda v: {width.format('v')}+{gap})),0)+{width.format('ws[i]')}, 400) AS INT) END AS x1
- FROM (SELECT *, unnest(range(1, len(ws)+1)) i FROM (SELECT doc_id, ord, {TOKENS} ws, text FROM (SELECT doc_id, ord, value AS text FROM fi WHERE section='header' AND value <> '')))"""
+ FROM (SELECT *, unnest(range(1, len(ws)+1)) i FROM (SELECT {keys}, {TOKENS} ws, text FROM (SELECT {keys}, value AS text FROM fi WHERE {only}value <> '')))"""
 
 
-def _split(spark, d, *least):
-    v = fields_inv(spark, d).filter("section = 'header' AND value <> ''")
+def _split(v, keys, *least):
     words = g.split_words(F.col("value"), F.lit(100), F.lit(50), F.lit(400), F.lit(70), *least)
-    return v.select("doc_id", "ord", F.posexplode(words).alias("i", "w")).select("doc_id", "ord", "i", F.col("w.text").alias("word"), F.element_at("w.box", 1).alias("x0"), F.element_at("w.box", 3).alias("x1"))
+    return v.select(*keys, F.posexplode(words).alias("i", "w")).select(*keys, "i", F.col("w.text").alias("word"), F.element_at("w.box", 1).alias("x0"), F.element_at("w.box", 3).alias("x1"))
+
+
+def _header(spark, d):
+    return fields_inv(spark, d).filter("section = 'header' AND value <> ''")
+
 
+def _valued(spark, d):
+    return fields_inv(spark, d).filter("value <> ''")
 
-@query(_split_sql("CAST(trunc(CAST(length({0}) AS DOUBLE)/length(text)*300) AS INT)", "6"), "fi")
+
+_WIDTH, _WIDTH_V2 = "CAST(trunc(CAST(length({0}) AS DOUBLE)/length(text)*300) AS INT)", "greatest(CAST(trunc(CAST(length({0}) AS DOUBLE)/length(text)*300) AS INT), 5)"
+
+
+@query(_split_sql(_WIDTH, "6"), "fi")
 def split_words(spark, d):
-    return _split(spark, d)
+    return _split(_header(spark, d), ["doc_id", "ord"])
 
 
-@query(_split_sql("greatest(CAST(trunc(CAST(length({0}) AS DOUBLE)/length(text)*300) AS INT), 5)", "6"), "fi")
+@query(_split_sql(_WIDTH_V2, "6"), "fi")
 def split_words_v2(spark, d):
-    return _split(spark, d, 5, 2)
+    return _split(_header(spark, d), ["doc_id", "ord"], 5, 2)
+
+
+# the same over header and item values alike
+@query(_split_sql(_WIDTH, "6", _FIELD, ""), "fi")
+def split_words_fields(spark, d):
+    return _split(_valued(spark, d), _FIELD.split(", "))
+
+
+@query(_split_sql(_WIDTH_V2, "6", _FIELD, ""), "fi")
+def split_words_v2_fields(spark, d):
+    return _split(_valued(spark, d), _FIELD.split(", "), 5, 2)
 
 
 @query("SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY id)-1 AS INT) AS id, text, [x0,y0,x1,y1] AS box, 'answer' AS label, [text] AS words FROM el", "el")
@@ -151,11 +175,23 @@ def create_document_v2(spark, d):
     return e.create_document(own, "keep_best", True).select("doc_id", "id", "position")
 
 
-@query(rf"SELECT doc_id, ord, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x<>'')) = 1 AS consistent FROM (SELECT doc_id, ord, value AS text FROM fi WHERE section='header' AND value <> '')", "fi")
-def words_consistent(spark, d):
-    v = fields_inv(spark, d).filter("section = 'header' AND value <> ''")
+def _consistent_sql(keys: str = "doc_id, ord", only: str = _HEADER) -> str:
+    return rf"SELECT {keys}, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x<>'')) = 1 AS consistent FROM (SELECT {keys}, value AS text FROM fi WHERE {only}value <> '')"
+
+
+def _consistent(v, keys):
     one = F.array(F.struct(F.col("value").alias("text"), F.array(*map(F.lit, (0, 0, 50, 10))).alias("box")))
-    return v.select("doc_id", "ord", g.words_consistent(F.col("value"), one, F.lit(0), F.lit(50)).alias("consistent"))
+    return v.select(*keys, g.words_consistent(F.col("value"), one, F.lit(0), F.lit(50)).alias("consistent"))
+
+
+@query(_consistent_sql(), "fi")
+def words_consistent(spark, d):
+    return _consistent(_header(spark, d), ["doc_id", "ord"])
+
+
+@query(_consistent_sql(_FIELD, ""), "fi")
+def words_consistent_fields(spark, d):
+    return _consistent(_valued(spark, d), _FIELD.split(", "))
 
 
 @query(f"""SELECT doc_id, total_elements, valid_bboxes, invalid_bboxes, small_bboxes, zero_confidence, inconsistent_words, duplicate_groups, total_duplicates, (total_elements-invalid_bboxes-zero_confidence)/CAST(total_elements AS DOUBLE) AS quality_score

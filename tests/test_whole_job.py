@@ -40,3 +40,14 @@ def test_partial_ratio_cut_is_the_plain_one():
         a, b = ("".join(rng.choice("abcde ") for _ in range(rng.randrange(0, 25))) for _ in range(2))
         plain = s.partial_ratio_of(a, b)
         assert s.partial_ratio_from(a, b, 75) == (plain if plain >= 75 else 0.0)
+
+
+@pytest.mark.parametrize("name", ["split_words_fields", "split_words_v2_fields", "words_consistent_fields"])
+def test_words_of_items_agree_with_sql(spark, few, name):
+    duckdb = pytest.importorskip("duckdb")
+    db = duckdb.connect()
+    for n in ("orders", "customer", "lineitem", "part"):
+        db.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{few}/{n}.parquet/*.parquet')")
+    got = sorted(tuple(r) for r in catalog.queries()[name](spark, few).collect())
+    assert got == sorted(db.execute(catalog.oracle_sql()[name]).fetchall())
+    assert any(r[1] == "items" and r[3] == 2 for r in got) and any(r[1] == "header" for r in got)
