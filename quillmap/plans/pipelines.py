@@ -29,7 +29,11 @@ def multi_page(fields: DataFrame, words: DataFrame, threshold: float = 85) -> Da
 
 def items_via_table(fields: DataFrame, words: DataFrame, threshold: float = 85) -> DataFrame:
     """Matches of item fields, each within its item's row."""
-    rows = layout.filter_table_rows(layout.detect_rows(words), 2)
+    return items_in_rows(fields, layout.filter_table_rows(layout.detect_rows(words), 2), threshold)
+
+
+def items_in_rows(fields: DataFrame, rows: DataFrame, threshold: float = 85) -> DataFrame:
+    """Matches of item fields, each within the best of the rows for its item; rows: words with row_id."""
     items = fields.filter("section = 'items'")
     mapped = m.map_items_rows(items, rows, threshold).select("doc_id", "item_idx", "row_id")
     asked = items.join(mapped, ["doc_id", "item_idx"]).withColumn("key", F.struct("doc_id", "row_id")).drop("doc_id", "row_id").withColumnRenamed("key", "doc_id")
@@ -78,11 +82,17 @@ def reprocess(fields: DataFrame, words: DataFrame, strategy: str = "keep_best",
 
 
 def optimized_pipeline(fields: DataFrame, words: DataFrame, threshold: float = 85) -> DataFrame:
-    """Header fields outside the items' region, enhanced with context; items through rows; the second formatter."""
-    parts = layout.assign_regions(words)
+    """Header fields outside the items' region, items through the second detector's rows outside the header; both enhanced, the header with context; the second formatter."""
+    from quillmap.llm.common import written
+
+    # words and matches are read several times: written once, which also keeps the plan small
+    parts = written(layout.assign_regions(words), "regions")
     head = m.match_fields(fields.filter("section = 'header'"), parts.filter("region <> 'items'").drop("region"), threshold)
-    head = enhance_match(with_box_id(head), words, words).drop("box_id", "pattern_detected")
-    items = items_via_table(fields, parts.filter("region <> 'header'").drop("region"), threshold)
+    everywhere = parts.drop("region")
+    head = enhance_match(written(with_box_id(head), "head"), everywhere, everywhere).drop("box_id", "pattern_detected")
+    table = parts.filter("region <> 'header'").drop("region")
+    items = items_in_rows(fields, layout.banded_rows(table), threshold)
+    items = enhance_match(written(with_box_id(items), "items"), table).drop("box_id", "pattern_detected")
     return e.create_document(e.format_v2(head.unionByName(items, allowMissingColumns=True), "section", "item_idx", "ord"), "keep_best", True)
 
 

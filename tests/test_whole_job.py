@@ -51,3 +51,22 @@ def test_words_of_items_agree_with_sql(spark, few, name):
     got = sorted(tuple(r) for r in catalog.queries()[name](spark, few).collect())
     assert got == sorted(db.execute(catalog.oracle_sql()[name]).fetchall())
     assert any(r[1] == "items" and r[3] == 2 for r in got) and any(r[1] == "header" for r in got)
+
+
+def test_optimized_pipeline_enhances_items(spark):
+    from quillmap.plans import pipelines as p
+    from tests.test_matching import FIELD, WORD
+
+    lines = [(300, "Item", "Codigo", "Moneda", "Precio"), (320, "1", "P00-0001", "S/.", "100.50"), (340, "2", "P00-0002", "S/.", "200.75")]
+    left, right = (40, 100, 300, 322), (80, 160, 320, 350)
+    w = [(1, 4 * r + k, 0, t, left[k], y, right[k], y + 12, 0.8) for r, (y, *texts) in enumerate(lines) for k, t in enumerate(texts)]
+    # below the tenth pixel of its row's band: a row of its own for the second detector
+    w.append((1, 12, 0, "P000003", 200, 349, 260, 361, 0.8))
+    w.append((1, 13, 0, "KG", 400, 351, 430, 363, 0.8))
+    f = [(1, "items", i, o, n, v, k) for i, (c, v) in enumerate((("P00-0001", "100.50"), ("P00-0002", "200.75"))) for o, n, v, k in ((0, "codigo", c, "single"), (1, "precio_unitario", v, "numeric"))]
+    f.append((1, "items", 1, 2, "unidad", "KG", "single"))
+    rows = p.optimized_pipeline(spark.createDataFrame(f, FIELD), spark.createDataFrame(w, WORD)).collect()
+    got = {r["text"]: r for r in rows}
+    assert sorted(got) == ["100.50", "200.75", "P00-0001", "P00-0002"]  # KG is in the next band
+    assert [got[t]["x0"] for t in ("100.50", "200.75")] == [300, 300]
+    assert [round(got[t]["confidence"], 9) for t in ("P00-0001", "P00-0002")] == [0.95, 0.95]
