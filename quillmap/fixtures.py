@@ -87,6 +87,20 @@ WORDS_INV = _INV_LINES.format(date="strftime(o_orderdate,'%Y-%m-%d')", tokens="t
 FIELDS_INV = _FIELDS.format(date="strftime(o_orderdate,'%Y-%m-%d')", **_NAMES) + f",\nfi AS ({_FIELD_ROWS})"
 
 
+# the items of two documents in three on pages of their own, three rows each at the same heights
+_PAGE = "CASE WHEN y0 < 300 OR doc_id % 3 = 0 THEN 0 ELSE 1 + ((y0 - 300) {div} 20 - 1) {div} 3 END"
+_UP = "CASE WHEN page > 0 THEN 60 * (page - 1) ELSE 0 END"
+
+
+def words_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The invoices' words, of most documents on several pages."""
+    paged = words_inv(spark, d).selectExpr("doc_id", "word_idx", f"CAST({_PAGE.format(div='div')} AS INT) page", "text", "x0", "y0", "x1", "y1", "confidence")
+    return paged.selectExpr("doc_id", "word_idx", "page", "text", "x0", f"y0 - {_UP} AS y0", "x1", f"y1 - {_UP} AS y1", "confidence")
+
+
+WORDS_PAGES = WORDS_INV + f",\nwp AS MATERIALIZED (SELECT doc_id, word_idx, page, text, x0, y0 - {_UP} AS y0, x1, y1 - {_UP} AS y1, confidence FROM (SELECT * EXCLUDE (page), CAST({_PAGE.format(div='//')} AS INT) page FROM wi))"
+
+
 def elements(spark: SparkSession, d: str) -> DataFrame:
     """Invoice words as elements in coarse boxes, so that many share one."""
     return words_inv(spark, d).selectExpr("doc_id", "word_idx AS id", "page", "text", "x0 - x0 % 200 AS x0", "y0", "x0 - x0 % 200 + 100 AS x1", "y1", "confidence", "CASE WHEN word_idx < 9 THEN 'header' ELSE 'items' END AS field_name")

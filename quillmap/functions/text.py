@@ -49,6 +49,11 @@ def normalize_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(low, r"(?U)[^\w\s]", ""), r"(?U)\s+", " "))
 
 
+def normalize_text_sql(c: str) -> str:
+    """The same as an expression in Spark's SQL."""
+    return rf"trim(regexp_replace(regexp_replace(regexp_replace(translate(lower({c}), '{_ACCENTED}', '{_PLAIN}'), r'\p{{Mn}}', ''), r'(?U)[^\w\s]', ''), r'(?U)\s+', ' '))"
+
+
 def normalize_text_keep_points(c: Column) -> Column:
     """The documented variant: points and hyphens stay, accents too."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"(?U)[^\w\s.-]", ""), r"(?U)\s+", " "))

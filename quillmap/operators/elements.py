@@ -72,6 +72,11 @@ def format_v1(matches: DataFrame, *order: str) -> DataFrame:
     return assign_ids(out, *order)
 
 
+def confident(elements: DataFrame, least: float = 0.5) -> DataFrame:
+    """Elements with at least so much confidence."""
+    return elements.filter(F.col("confidence") >= least)
+
+
 def drop_reason(min_confidence: float = 0.5) -> Column:
     """Why the second formatter leaves a match out, or null."""
     return F.when(F.col("confidence") < min_confidence, "low_confidence").when(~g.is_valid(*_box()), "invalid_bbox")
@@ -149,10 +154,11 @@ def chunk_elements(elements: DataFrame, most: int = 384, overlap: int = 128) ->
     A document within `most` tokens is one chunk. Otherwise an element that would pass
     `most` starts the next chunk, which begins with the elements kept for overlap; these
     are then cleared. The overlap is what was added last, its oldest going while it has
-    more than `overlap` tokens and one element. One document's elements are folded in
+    more than `overlap` tokens and one element. Elements with `words` count these. One document's elements are folded in
     one group; documents go to different tasks.
     """
-    own = elements.select("doc_id", "position", "id", estimate_tokens(F.col("text")).alias("tokens"))
+    given = F.size("words") if "words" in elements.columns else None
+    own = elements.select("doc_id", "position", "id", estimate_tokens(F.col("text"), given).alias("tokens"))
     return own.groupBy("doc_id").applyInPandas(_cut(most, overlap), f"doc_id {elements.schema['doc_id'].dataType.simpleString()}, chunk_index int, pos int, id {elements.schema['id'].dataType.simpleString()}, tokens int")
 
 
@@ -163,7 +169,9 @@ def chunk_info(chunks: DataFrame) -> DataFrame:
 
 
 def chunk_stats(chunks: DataFrame) -> DataFrame:
-    return chunk_info(chunks).groupBy("doc_id").agg(F.count(F.lit(1)).alias("num_chunks"), F.sum("num_elements").alias("total_elements"), F.sum("estimated_tokens").alias("total_tokens"), F.max("estimated_tokens").alias("max_tokens"), (F.sum("estimated_tokens") / F.count(F.lit(1))).alias("avg_tokens"))
+    """Per document: its chunks, their elements and tokens in sum and in a list each, the most and the mean tokens."""
+    each = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", c))), lambda e: e[c])
+    return chunk_info(chunks).groupBy("doc_id").agg(each("num_elements").alias("elements_per_chunk"), each("estimated_tokens").alias("tokens_per_chunk"), F.count(F.lit(1)).alias("num_chunks"), F.sum("num_elements").alias("total_elements"), F.sum("estimated_tokens").alias("total_tokens"), F.max("estimated_tokens").alias("max_tokens"), (F.sum("estimated_tokens") / F.count(F.lit(1))).alias("avg_tokens"))
 
 
 def validate_chunks(chunks: DataFrame, most: int = 384) -> DataFrame:

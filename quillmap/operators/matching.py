@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillmap.functions import geometry as g
 from quillmap.functions import similarity as s
+from quillmap.functions.similarity import slices
 from quillmap.functions.text import extract_number, family_keywords, is_currency_symbol, keyword_family, normalize_text, normalize_text_keep_points, tokens
 
 FIELD = ["doc_id", "section", "item_idx", "ord", "field_name", "value"]
@@ -20,8 +21,14 @@ BOX = ["x0", "y0", "x1", "y1"]
 MOST_WORDS = 9
 
 
+#: A block of a document holds so many words, and a block of its fields so many fields; all blocks of one meet all of the other.
+BLOCK_WORDS, BLOCK_FIELDS = 1024, 512
+KEY = ["section", "item_idx", "ord", "field_name"]
+_HIT = "word_idx int, word_count int, page int, text string, x0 int, y0 int, x1 int, y1 int, word_confidence double, score double"
+
+
 def present(value: Column) -> Column:
-    return value.isNotNull() & (value != "")
+    return value.isNotNull() & (F.trim(value) != "")
 
 
 def matchable(fields: DataFrame) -> DataFrame:
@@ -42,25 +49,89 @@ def match_exact(fields: DataFrame, words: DataFrame) -> DataFrame:
     return _first(found, F.col("word_idx")).select(*FIELD, "word_idx", "page", "text", *BOX, "confidence", F.lit(1.0).alias("match_score"))
 
 
-def _scored(pairs: DataFrame) -> DataFrame:
-    """Adds `score` to rows with norm and wnorm; every distinct pair is scored once."""
-    distinct = pairs.select("norm", "wnorm").distinct().withColumn("score", s.similarity_ratio("norm", "wnorm"))
-    return pairs.join(distinct, ["norm", "wnorm"])
+def _searcher(threshold: float, n_group: int):
+    """Arrow rows of a block of fields `f` and a block of words `w` into the best run of words of each field and group."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            chars = [sum(len(x["norm"]) for x in r) for r in b.column("w").to_pylist()] if b.num_rows else []
+            for lo, hi in slices(chars, 100_000):
+                part = b.slice(lo, hi - lo)
+                f, w = part.column("f"), part.column("w")
+                row = lambda c: np.repeat(np.arange(len(c)), c.value_lengths().to_numpy(zero_copy_only=False))
+                q_row, w_row, fs, ws = row(f), row(w), f.flatten(), w.flatten()
+                names = [x.name for x in ws.type]
+                col = lambda c: ws.field(names.index(c))
+                group = np.zeros(len(ws), np.int64)
+                for k in range(n_group):
+                    v = pa.compute.dictionary_encode(col(f"g{k}"), null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                    group = group * (int(v.max(initial=0)) + 1) + v
+                # words by row, group and place, as a run is of words that follow each other in a group
+                order = np.lexsort((col("word_idx").to_numpy(zero_copy_only=False), group, w_row))
+                ws, group, w_row = ws.take(pa.array(order)), group[order], w_row[order]
+                most = fs.field("most").to_numpy(zero_copy_only=False)
+                q, at, n, score = s.scored_runs(fs.field("norm").to_pylist(), most, col("norm").to_pylist(), group, q_row, w_row, col("tail").to_numpy(zero_copy_only=False), threshold)
+                best = np.lexsort((n, at, -score, group[at], q))
+                q, at, n, score = q[best], at[best], n[best], score[best]
+                first = np.ones(len(q), bool)
+                first[1:] = (q[1:] != q[:-1]) | (group[at[1:]] != group[at[:-1]])
+                q, at, n, score = q[first], at[first], n[first], score[first]
+                spans = [range(i, i + k) for i, k in zip(at.tolist(), n.tolist(), strict=True)]
+                own = {c: col(c).to_pylist() for c in ("text", *BOX, "confidence")}
+                of = lambda c, how: [how([own[c][i] for i in span]) for span in spans]
+                known = lambda how: lambda v: how([x for x in v if x is not None], default=None)
+                take = pa.array(at)
+                cols = {c: fs.field(c).take(pa.array(q)) for c in (*KEY, "value")}
+                cols |= {f"g{k}": col(f"g{k}").take(take) for k in range(n_group)}
+                cols |= {"word_idx": col("word_idx").take(take), "word_count": pa.array(n, pa.int32()), "page": col("page").take(take), "text": pa.array(of("text", " ".join), pa.string())}
+                cols |= {c: pa.array(of(c, known(min if c in BOX[:2] else max)), pa.int32()) for c in BOX}
+                cols |= {"word_confidence": pa.array(of("confidence", lambda v: None if None in v else sum(v) / len(v)), pa.float64()), "score": pa.array(score, pa.float64())}
+                doc = part.column("doc_id").take(pa.array(q_row[q]))
+                yield pa.RecordBatch.from_arrays([doc, *cols.values()], ["doc_id", *cols])
+
+    return run
+
+
+def best_runs(fields: DataFrame, words: DataFrame, threshold: float, groups: tuple[str, ...] = ()) -> DataFrame:
+    """The most similar run of a document's words for each field, and each group of words if groups are named.
+
+    fields: with norm and most, the longest run that the field is compared to. FIELD, the
+    groups, word_idx (the first word's), word_count, page, text, box, word_confidence (mean),
+    score. Ties: the first word, then the shortest run. A document's fields and words go in
+    blocks of bounded size, so no document is held whole; only the hits of a block come back.
+    """
+    by_word = Window.partitionBy("doc_id").orderBy(*groups, "word_idx")
+    at = F.row_number().over(by_word) - 1
+    home = F.floor(F.col("__at") / BLOCK_WORDS).cast("int")
+    # the words after a block's last belong to it too, as a run's end but not as its start
+    ahead = (F.col("__at") % BLOCK_WORDS < MOST_WORDS - 1) & (home > 0)
+    copies = F.filter(F.array(F.struct(home.alias("wb"), F.lit(False).alias("tail")), F.when(ahead, F.struct((home - 1).alias("wb"), F.lit(True).alias("tail")))), lambda c: c.isNotNull())
+    dealt = words.withColumn("__at", at).select("*", F.inline(copies))
+    word = F.struct(F.col("word_idx").cast("int").alias("word_idx"), F.col("page").cast("int").alias("page"), F.col("text"), *(F.col(c).cast("int").alias(c) for c in BOX), F.col("confidence").cast("double").alias("confidence"), normalize_text(F.col("text")).alias("norm"), "tail", *(F.col(c).alias(f"g{k}") for k, c in enumerate(groups)))
+    wordy = dealt.filter(F.col("text").isNotNull()).groupBy("doc_id", "wb").agg(F.collect_list(word).alias("w"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(*KEY)) - 1
+    asked = fields.withColumn("fb", F.floor(place / BLOCK_FIELDS)).groupBy("doc_id", "fb").agg(F.collect_list(F.struct(*KEY, F.col("value"), "norm", F.col("most").cast("int").alias("most"))).alias("f"))
+    kinds = [f"{c} {fields.schema[c].dataType.simpleString()}" for c in FIELD] + [f"g{k} {words.schema[c].dataType.simpleString()}" for k, c in enumerate(groups)]
+    found = asked.join(wordy, "doc_id").select("doc_id", "f", "w").mapInArrow(_searcher(threshold, len(groups)), ", ".join([*kinds, _HIT]))
+    # of several blocks the best
+    keys = ["doc_id", *KEY, *(f"g{k}" for k in range(len(groups)))]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("score").desc(), "word_idx", "word_count"))
+    one = found.repartition("doc_id", "section", "item_idx").withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    return one.withColumnsRenamed({f"g{k}": c for k, c in enumerate(groups)}) if "page" not in groups else one.drop("page").withColumnsRenamed({f"g{k}": c for k, c in enumerate(groups)})
+
+
+def _sure() -> list[Column]:
+    score = F.col("score")
+    return [F.when(score == 100, F.col("word_confidence")).otherwise(F.col("word_confidence") * score / 100).alias("confidence"), (score / 100).alias("match_score")]
 
 
 def match_fuzzy(fields: DataFrame, words: DataFrame, threshold: float = 85) -> DataFrame:
-    """The most similar single word at or above the threshold; exact matches come first.
-
-    Lengths that cannot reach the threshold are left out before any text is compared.
-    """
-    own = matchable(fields).select(*FIELD, "norm").withColumn("qlen", F.length("norm"))
-    exact = match_exact(fields, words)
-    rest = own.join(exact.select("doc_id", "section", "item_idx", "ord"), ["doc_id", "section", "item_idx", "ord"], "left_anti")
-    normal = words.withColumn("wnorm", normalize_text(F.col("text"))).withColumn("wlen", F.length("wnorm"))
-    pairs = rest.join(normal, "doc_id").filter((F.col("qlen") > 0) & (F.col("wlen") > 0) & s.may_reach(F.col("qlen"), F.col("wlen"), threshold))
-    best = _first(_scored(pairs).filter(F.col("score") >= threshold), F.col("score").desc(), F.col("word_idx"))
-    fuzzy = best.select(*FIELD, "word_idx", "page", "text", *BOX, (F.col("confidence") * F.col("score") / 100).alias("confidence"), (F.col("score") / 100).alias("match_score"))
-    return exact.unionByName(fuzzy)
+    """The most similar single word at or above the threshold; equal normal forms score 1, ties go to the first word."""
+    own = matchable(fields).withColumn("most", F.lit(1))
+    return best_runs(own, words, threshold).select(*FIELD, "word_idx", "page", "text", *BOX, *_sure())
 
 
 def word_ngrams(words: DataFrame, most: int = MOST_WORDS, per_page: bool = False) -> DataFrame:
@@ -75,11 +146,8 @@ def word_ngrams(words: DataFrame, most: int = MOST_WORDS, per_page: bool = False
 
 def match_multiword(fields: DataFrame, words: DataFrame, threshold: float = 85) -> DataFrame:
     """The most similar run of up to nine words: ties to the earliest, then the shortest."""
-    own = matchable(fields).select(*FIELD, "norm").withColumn("qlen", F.length("norm"))
-    runs = word_ngrams(words).withColumn("wnorm", normalize_text(F.col("text"))).withColumn("wlen", F.length("wnorm"))
-    pairs = own.join(runs, "doc_id").filter((F.col("qlen") > 0) & (F.col("wlen") > 0) & s.may_reach(F.col("qlen"), F.col("wlen"), threshold))
-    best = _first(_scored(pairs).filter(F.col("score") >= threshold), F.col("score").desc(), F.col("word_idx"), F.col("n"))
-    return best.select(*FIELD, "word_idx", "page", "text", *BOX, (F.col("confidence") * F.col("score") / 100).alias("confidence"), (F.col("score") / 100).alias("match_score"), F.col("n").alias("word_count"))
+    own = matchable(fields).withColumn("most", F.lit(MOST_WORDS))
+    return best_runs(own, words, threshold).select(*FIELD, "word_idx", "page", "text", *BOX, *_sure(), "word_count")
 
 
 def match_numeric(fields: DataFrame, words: DataFrame, tolerance: float = 0.01, mode: str = "decimal_aware") -> DataFrame:
@@ -92,12 +160,14 @@ def match_numeric(fields: DataFrame, words: DataFrame, tolerance: float = 0.01,
 
 
 def match_fields(fields: DataFrame, words: DataFrame, threshold: float = 85, tolerance: float = 0.01, mode: str = "decimal_aware") -> DataFrame:
-    """Numbers by tolerance, several words as runs, others as single words; a number that is none is text."""
-    castable = F.col("value").try_cast("double").isNotNull()
-    numeric = match_numeric(fields.filter((F.col("kind") == "numeric") & castable), words, tolerance, mode)
-    multi = match_multiword(fields.filter("kind = 'multiword'"), words, threshold)
-    single = match_fuzzy(fields.filter((F.col("kind") == "single") | (F.col("kind") == "numeric") & ~castable), words, threshold)
-    return single.unionByName(multi, allowMissingColumns=True).unionByName(numeric, allowMissingColumns=True)
+    """Numbers by tolerance, several words as runs, others as single words; a number that is none is text.
+
+    All text goes through one pass over the documents' words.
+    """
+    number = (F.col("kind") == "numeric") & F.col("value").try_cast("double").isNotNull()
+    text = matchable(fields.filter(~F.coalesce(number, F.lit(False)))).withColumn("most", F.when(F.col("kind") == "multiword", MOST_WORDS).otherwise(1))
+    found = best_runs(text, words, threshold).select(*FIELD, "word_idx", "page", "text", *BOX, *_sure(), "word_count")
+    return found.unionByName(match_numeric(fields.filter(number), words, tolerance, mode), allowMissingColumns=True)
 
 
 def match_five_strategy(fields: DataFrame, words: DataFrame) -> DataFrame:
@@ -120,29 +190,41 @@ def match_five_strategy(fields: DataFrame, words: DataFrame) -> DataFrame:
     return found.select(*FIELD, "word_idx", "page", "text", *BOX, (F.col("confidence") * F.col("score") / 100).alias("confidence"), (F.col("score") / 100).alias("match_score"), "strategy")
 
 
-def map_items_rows(fields: DataFrame, row_words: DataFrame, threshold: float = 85) -> DataFrame:
-    """Per item its best row: most fields found, then the greatest sum of scores, then the first row.
+def item_row_hits(fields: DataFrame, row_words: DataFrame, threshold: float = 85) -> DataFrame:
+    """Matches of the items' fields within each item's best row: FIELD, page, row_id, word_idx, text, box, confidence,
+    match_score, and the row's fields_matched and row_score.
 
-    row_words: words with row_id. Fields of any kind are compared as text, one row at a
-    time; several items may take one row, an item without any field found takes none.
+    row_words: words with row_id; a row is of one page. Fields of any kind are compared to
+    single words as text. The best row has the most fields found, then the greatest sum of
+    scores (to nine places), then comes first by page and row. Several items may take one
+    row, an item without any field found takes none. Every field meets every word of its
+    document once; only its best word in each row goes on.
     """
-    items = fields.filter("section = 'items'")
-    rows = row_words.select("doc_id", "row_id").distinct()
-    by_row = items.join(rows, "doc_id").withColumn("doc_row", F.struct("doc_id", "row_id")).drop("doc_id").withColumnRenamed("doc_row", "doc_id").drop("row_id")
-    in_row = row_words.withColumn("doc_row", F.struct("doc_id", "row_id")).drop("doc_id", "row_id").withColumnRenamed("doc_row", "doc_id")
-    found = match_fuzzy(by_row, in_row, threshold).select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.row_id").alias("row_id"), "item_idx", "match_score")
-    totals = found.groupBy("doc_id", "item_idx", "row_id").agg(F.count(F.lit(1)).alias("fields_matched"), F.sum("match_score").alias("match_score"))
-    rank = F.row_number().over(Window.partitionBy("doc_id", "item_idx").orderBy(F.col("fields_matched").desc(), F.col("match_score").desc(), "row_id"))
-    return totals.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    items = matchable(fields.filter("section = 'items'")).withColumn("most", F.lit(1))
+    hits = best_runs(items, row_words, threshold, ("page", "row_id")).select(*FIELD, "page", "row_id", "word_idx", "text", *BOX, *_sure())
+    of_row = Window.partitionBy("doc_id", "section", "item_idx", "page", "row_id")
+    hits = hits.withColumn("fields_matched", F.count(F.lit(1)).over(of_row)).withColumn("row_score", F.sum(F.round(F.col("match_score") * 1e9).cast("long")).over(of_row))
+    rank = F.rank().over(Window.partitionBy("doc_id", "section", "item_idx").orderBy(F.col("fields_matched").desc(), F.col("row_score").desc(), "page", "row_id"))
+    return hits.withColumn("__rank", rank).filter("__rank = 1").drop("__rank").withColumn("row_score", F.col("row_score") / 1e9)
+
+
+def map_items_rows(fields: DataFrame, row_words: DataFrame, threshold: float = 85) -> DataFrame:
+    """doc_id, item_idx, page, row_id, fields_matched, match_score of each item's best row, as item_row_hits() finds it."""
+    return item_row_hits(fields, row_words, threshold).groupBy("doc_id", "item_idx", "page", "row_id").agg(F.max("fields_matched").alias("fields_matched"), F.max("row_score").alias("match_score"))
+
+
+def map_items_rows_v2(fields: DataFrame, words: DataFrame, threshold: float = 85) -> DataFrame:
+    """The same over the second detector's rows, bands of ten of each page's words without the head; item_index for item_idx."""
+    from quillmap.operators.layout import banded_rows
+
+    return map_items_rows(fields, banded_rows(words, ("doc_id", "page")), threshold).withColumnRenamed("item_idx", "item_index")
 
 
 def split_pages(fields: DataFrame, words: DataFrame, threshold: float = 85, keys=("serie_completa", "emisor_ruc", "receptor_numero_doc", "importe_total")) -> DataFrame:
     """doc_id, page, hits, role: header pages have at least half the most hits of key fields, page 0 if none has any."""
     pages = words.select("doc_id", "page").distinct()
-    asked = fields.filter((F.col("section") == "header") & F.col("field_name").isin(*keys))
-    per_page = asked.join(pages, "doc_id").withColumn("dp", F.struct("doc_id", "page")).drop("doc_id", "page").withColumnRenamed("dp", "doc_id")
-    on_page = words.withColumn("dp", F.struct("doc_id", "page")).drop("doc_id").withColumnRenamed("dp", "doc_id")
-    hits = match_fuzzy(per_page, on_page, threshold).select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.page").alias("page")).groupBy("doc_id", "page").count().withColumnRenamed("count", "hits")
+    asked = matchable(fields.filter((F.col("section") == "header") & F.col("field_name").isin(*keys))).withColumn("most", F.lit(1))
+    hits = best_runs(asked, words, threshold, ("page",)).groupBy("doc_id", "page").agg(F.count(F.lit(1)).alias("hits"))
     most = F.max("hits").over(Window.partitionBy("doc_id"))
     scored = pages.join(hits, ["doc_id", "page"], "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
     header = F.when(most == 0, F.col("page") == 0).otherwise(F.col("hits") >= most * 0.5)

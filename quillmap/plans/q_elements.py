@@ -63,7 +63,7 @@ def bbox_small(spark, d):
 
 @query("SELECT doc_id, word_idx, text FROM wd WHERE confidence >= 0.6", "wd")
 def filter_confidence(spark, d):
-    return words_doc(spark, d).filter("confidence >= 0.6D").select("doc_id", "word_idx", "text")
+    return e.confident(words_doc(spark, d), 0.6).select("doc_id", "word_idx", "text")
 
 
 @query(rf"SELECT doc_id, ord, item_idx, len(list_filter(regexp_split_to_array(coalesce(value,''), '\s+'), lambda x: x<>''))*2+4 AS tokens FROM fi", "fi")
@@ -104,50 +104,37 @@ def reading_order(spark, d):
     return e.reading_order(elements(spark, d)).select("doc_id", "id", "position")
 
 
-_HEADER, _FIELD = "section='header' AND ", "doc_id, section, item_idx, ord"
+_FIELD = "doc_id, section, item_idx, ord"
 
 
-def _split_sql(width: str, gap: str, keys: str = "doc_id, ord", only: str = _HEADER) -> str:
-    return rf"""SELECT {keys}, CAST(i-1 AS INT) AS i, ws[i] AS word, CASE WHEN len(ws)=1 THEN 100 ELSE CAST(100+coalesce(list_sum(list_transform(ws[1:i-1], lambda v: {width.format('v')}+{gap})),0) AS INT) END AS x0,
+def _split_sql(width: str, gap: str) -> str:
+    return rf"""SELECT {_FIELD}, CAST(i-1 AS INT) AS i, ws[i] AS word, CASE WHEN len(ws)=1 THEN 100 ELSE CAST(100+coalesce(list_sum(list_transform(ws[1:i-1], lambda v: {width.format('v')}+{gap})),0) AS INT) END AS x0,
  CASE WHEN len(ws)=1 THEN 400 ELSE CAST(least(100+coalesce(list_sum(list_transform(ws[1:i-1], lambda v: {width.format('v')}+{gap})),0)+{width.format('ws[i]')}, 400) AS INT) END AS x1
- FROM (SELECT *, unnest(range(1, len(ws)+1)) i FROM (SELECT {keys}, {TOKENS} ws, text FROM (SELECT {keys}, value AS text FROM fi WHERE {only}value <> '')))"""
-
-
-def _split(v, keys, *least):
-    words = g.split_words(F.col("value"), F.lit(100), F.lit(50), F.lit(400), F.lit(70), *least)
-    return v.select(*keys, F.posexplode(words).alias("i", "w")).select(*keys, "i", F.col("w.text").alias("word"), F.element_at("w.box", 1).alias("x0"), F.element_at("w.box", 3).alias("x1"))
-
-
-def _header(spark, d):
-    return fields_inv(spark, d).filter("section = 'header' AND value <> ''")
+ FROM (SELECT *, unnest(range(1, len(ws)+1)) i FROM (SELECT {_FIELD}, {TOKENS} ws, text FROM (SELECT {_FIELD}, value AS text FROM fi WHERE value <> '')))"""
 
 
 def _valued(spark, d):
     return fields_inv(spark, d).filter("value <> ''")
 
 
+def _split(spark, d, *least):
+    words = g.split_words(F.col("value"), F.lit(100), F.lit(50), F.lit(400), F.lit(70), *least)
+    keys = _FIELD.split(", ")
+    return _valued(spark, d).select(*keys, F.posexplode(words).alias("i", "w")).select(*keys, "i", F.col("w.text").alias("word"), F.element_at("w.box", 1).alias("x0"), F.element_at("w.box", 3).alias("x1"))
+
+
 _WIDTH, _WIDTH_V2 = "CAST(trunc(CAST(length({0}) AS DOUBLE)/length(text)*300) AS INT)", "greatest(CAST(trunc(CAST(length({0}) AS DOUBLE)/length(text)*300) AS INT), 5)"
 
 
+# header and item values alike
 @query(_split_sql(_WIDTH, "6"), "fi")
 def split_words(spark, d):
-    return _split(_header(spark, d), ["doc_id", "ord"])
+    return _split(spark, d)
 
 
 @query(_split_sql(_WIDTH_V2, "6"), "fi")
 def split_words_v2(spark, d):
-    return _split(_header(spark, d), ["doc_id", "ord"], 5, 2)
-
-
-# the same over header and item values alike
-@query(_split_sql(_WIDTH, "6", _FIELD, ""), "fi")
-def split_words_fields(spark, d):
-    return _split(_valued(spark, d), _FIELD.split(", "))
-
-
-@query(_split_sql(_WIDTH_V2, "6", _FIELD, ""), "fi")
-def split_words_v2_fields(spark, d):
-    return _split(_valued(spark, d), _FIELD.split(", "), 5, 2)
+    return _split(spark, d, 5, 2)
 
 
 @query("SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY id)-1 AS INT) AS id, text, [x0,y0,x1,y1] AS box, 'answer' AS label, [text] AS words FROM el", "el")
@@ -175,23 +162,14 @@ def create_document_v2(spark, d):
     return e.create_document(own, "keep_best", True).select("doc_id", "id", "position")
 
 
-def _consistent_sql(keys: str = "doc_id, ord", only: str = _HEADER) -> str:
-    return rf"SELECT {keys}, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x<>'')) = 1 AS consistent FROM (SELECT {keys}, value AS text FROM fi WHERE {only}value <> '')"
-
-
-def _consistent(v, keys):
-    one = F.array(F.struct(F.col("value").alias("text"), F.array(*map(F.lit, (0, 0, 50, 10))).alias("box")))
-    return v.select(*keys, g.words_consistent(F.col("value"), one, F.lit(0), F.lit(50)).alias("consistent"))
-
-
-@query(_consistent_sql(), "fi")
+# each token a word, some values with one word left out, some words twice to three times too wide
+@query(rf"""SELECT {_FIELD}, CASE WHEN doc_id % 5 = 0 AND len(ws) > 1 THEN len(ws) - 1 ELSE len(ws) END = len(ws) AND list_sum(list_transform(ws[1:CASE WHEN doc_id % 5 = 0 AND len(ws) > 1 THEN len(ws) - 1 ELSE len(ws) END], lambda w: length(w)*(4 + 2*(ord % 5)))) <= length(text)*8*1.5 AS consistent
+ FROM (SELECT {_FIELD}, {TOKENS} ws, text FROM (SELECT {_FIELD}, value AS text FROM fi WHERE value <> ''))""", "fi")
 def words_consistent(spark, d):
-    return _consistent(_header(spark, d), ["doc_id", "ord"])
-
-
-@query(_consistent_sql(_FIELD, ""), "fi")
-def words_consistent_fields(spark, d):
-    return _consistent(_valued(spark, d), _FIELD.split(", "))
+    v = _valued(spark, d).withColumn("ws", t.tokens(F.col("value")))
+    kept = F.when((F.col("doc_id") % 5 == 0) & (F.size("ws") > 1), F.slice("ws", F.lit(1), F.size("ws") - 1)).otherwise(F.col("ws"))
+    words = F.transform(kept, lambda w: F.struct(w.alias("text"), F.array(F.lit(0), F.lit(0), F.length(w) * (4 + 2 * (F.col("ord") % 5)), F.lit(10)).alias("box")))
+    return v.select(*_FIELD.split(", "), g.words_consistent(F.col("value"), words, F.lit(0), F.length("value") * 8).alias("consistent"))
 
 
 @query(f"""SELECT doc_id, total_elements, valid_bboxes, invalid_bboxes, small_bboxes, zero_confidence, inconsistent_words, duplicate_groups, total_duplicates, (total_elements-invalid_bboxes-zero_confidence)/CAST(total_elements AS DOUBLE) AS quality_score
@@ -227,7 +205,7 @@ def chunk_info(spark, d):
     return e.chunk_info(_chunks(spark, d))
 
 
-@query(f"WITH {_CHUNKS}, ci AS (SELECT doc_id, chunk_index, count(*) n, CAST(sum(tokens) AS BIGINT) t FROM ce GROUP BY ALL) SELECT doc_id, count(*) AS num_chunks, CAST(sum(n) AS BIGINT) AS total_elements, CAST(sum(t) AS BIGINT) AS total_tokens, max(t) AS max_tokens, CAST(sum(t) AS DOUBLE)/count(*) AS avg_tokens FROM ci GROUP BY 1", "wd")
+@query(f"WITH {_CHUNKS}, ci AS (SELECT doc_id, chunk_index, count(*) n, CAST(sum(tokens) AS BIGINT) t FROM ce GROUP BY ALL) SELECT doc_id, list(n ORDER BY chunk_index) AS elements_per_chunk, list(t ORDER BY chunk_index) AS tokens_per_chunk, count(*) AS num_chunks, CAST(sum(n) AS BIGINT) AS total_elements, CAST(sum(t) AS BIGINT) AS total_tokens, max(t) AS max_tokens, CAST(sum(t) AS DOUBLE)/count(*) AS avg_tokens FROM ci GROUP BY 1", "wd")
 def chunk_stats(spark, d):
     return e.chunk_stats(_chunks(spark, d))
 
@@ -244,11 +222,13 @@ def reassemble_chunks(spark, d):
 
 def _broken(spark, d):
     """Elements some of which break rules: every tenth turned, every eleventh outside, every thirteenth too sure."""
-    return elements(spark, d).selectExpr("doc_id", "id", "page", "nullif(text, '1') text", "x0", "y0", "CASE WHEN id % 10 = 0 THEN x0 ELSE x1 END x1", "CASE WHEN id % 11 = 0 THEN 1001 ELSE y1 END y1", "CASE WHEN id % 13 = 0 THEN 1.5D ELSE confidence END confidence", "field_name")
+    word = "named_struct('text', CASE WHEN id % 23 = 0 THEN NULL ELSE text END, 'box', CASE WHEN id % 29 = 0 THEN array(x0, y0, x1) WHEN id % 31 = 0 THEN NULL ELSE array(x0, y0, x1, y1) END)"
+    return elements(spark, d).selectExpr("doc_id", "id", "page", "nullif(text, '1') text", "x0", "y0", "CASE WHEN id % 10 = 0 THEN x0 ELSE x1 END x1", "CASE WHEN id % 11 = 0 THEN 1001 ELSE y1 END y1", "CASE WHEN id % 13 = 0 THEN 1.5D ELSE confidence END confidence", "field_name", "CASE WHEN id % 17 = 0 THEN NULL ELSE 'answer' END label", f"CASE WHEN id % 19 = 0 THEN NULL ELSE array({word}) END words")
 
 
-_BR = "br AS (SELECT doc_id, id, page, nullif(text, '1') AS text, x0, y0, CASE WHEN id%10=0 THEN x0 ELSE x1 END x1, CASE WHEN id%11=0 THEN 1001 ELSE y1 END y1, CASE WHEN id%13=0 THEN 1.5 ELSE confidence END confidence, field_name FROM el)"
-_VE = f"""{_BR}, ve AS (SELECT doc_id, id, unnest(list_filter([CASE WHEN text IS NULL THEN 'error:missing_text' END, CASE WHEN least(x0,y0,x1,y1)<0 OR greatest(x0,y0,x1,y1)>1000 THEN 'error:out_of_range' END, CASE WHEN x1<=x0 THEN 'error:x_order' END, CASE WHEN y1<=y0 THEN 'error:y_order' END, CASE WHEN confidence<0 OR confidence>1 THEN 'warning:confidence_range' END], lambda x: x IS NOT NULL)) r FROM br)"""
+_BR = "br AS (SELECT doc_id, id, page, nullif(text, '1') AS text, text AS word, x0, y0, CASE WHEN id%10=0 THEN x0 ELSE x1 END x1, CASE WHEN id%11=0 THEN 1001 ELSE y1 END y1, CASE WHEN id%13=0 THEN 1.5 ELSE confidence END confidence, field_name FROM el)"
+_VE = f"""{_BR}, ve AS (SELECT doc_id, id, unnest(list_filter([CASE WHEN text IS NULL THEN 'error:missing_text' END, CASE WHEN least(x0,y0,x1,y1)<0 OR greatest(x0,y0,x1,y1)>1000 THEN 'error:out_of_range' END, CASE WHEN x1<=x0 THEN 'error:x_order' END, CASE WHEN y1<=y0 THEN 'error:y_order' END, CASE WHEN confidence<0 OR confidence>1 THEN 'warning:confidence_range' END, CASE WHEN id%17=0 THEN 'error:missing_label' END, CASE WHEN id%19=0 THEN 'error:missing_words' END,
+  CASE WHEN id%19<>0 AND (id%23=0 OR word IS NULL) THEN 'warning:word_text' END, CASE WHEN id%19<>0 AND id%29=0 THEN 'error:word_box_size' END, CASE WHEN id%19<>0 AND id%29<>0 AND id%31=0 THEN 'warning:word_box' END], lambda x: x IS NOT NULL)) r FROM br)"""
 
 
 @query(f"WITH {_VE} SELECT doc_id, id, split_part(r, ':', 1) AS severity, split_part(r, ':', 2) AS rule FROM ve", "el")
@@ -288,9 +268,58 @@ def confidence_summary(spark, d):
     return q.confidence_summary(words_doc(spark, d)).withColumn("mean", F.round("mean", 9)).withColumn("stdev", F.round("stdev", 9))
 
 
-@query("SELECT CAST(sum(n_chars) AS DOUBLE)/count(n_chars) AS n_chars FROM documents")
+_V2C = f"vc AS (SELECT doc_id, count(*) total_fields, count(*) FILTER (confidence < 0.8) low, count(*) FILTER (confidence >= 0.8 AND NOT {VALID}) bad, count(*) FILTER (confidence >= 0.8 AND {VALID} AND {SMALL}) small, count(*) FILTER (confidence >= 0.8 AND {VALID}) emitted FROM el GROUP BY 1)"
+
+
+@query("SELECT CAST(sum(n_chars) AS DOUBLE)/count(n_chars) AS n_chars, avg(CAST(doc_id AS DOUBLE)) AS doc_id FROM documents")
 def column_means(spark, d):
-    return table(spark, d, "documents").agg(F.avg("n_chars").alias("n_chars"))
+    return q.column_means(table(spark, d, "documents"), "n_chars", "doc_id")
+
+
+@query("SELECT round(avg(confidence), 9) AS before_mean, round(avg(least(1.0, confidence+0.15)), 9) AS after_mean, round((avg(least(1.0, confidence+0.15))-avg(confidence))/avg(confidence)*100, 6) AS improvement FROM wi", "wi")
+def confidence_compare(spark, d):
+    w = words_inv(spark, d)
+    both = q.confidence_compare(w, w.withColumn("confidence", F.least(F.lit(1.0), F.col("confidence") + 0.15)))
+    return both.select(F.round("before_mean", 9).alias("before_mean"), F.round("after_mean", 9).alias("after_mean"), F.round("improvement", 6).alias("improvement"))
+
+
+def _batches(spark, d):
+    """Orders as runs of batches of 1, 4, 8 and 16 documents."""
+    o = table(spark, d, "orders")
+    size = F.element_at(F.array(*map(F.lit, (1, 4, 8, 16))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return o.select(size.alias("batch_size"), size.alias("documents"), (size * 0.125 + F.col("o_custkey") % 2).alias("seconds"))
+
+
+_BATCHES = """bt AS (SELECT [1,4,8,16][o_orderkey % 4 + 1] AS batch_size, o_custkey % 2 AS late FROM orders), th AS (SELECT batch_size, CAST(sum(batch_size) AS BIGINT) AS documents, sum(batch_size*CAST(0.125 AS DOUBLE)+late) AS seconds FROM bt GROUP BY 1),
+td AS (SELECT *, seconds/documents AS seconds_per_document, documents/seconds AS documents_per_second FROM th)"""
+
+
+@query(f"WITH {_BATCHES} SELECT *, documents_per_second/(SELECT documents_per_second FROM td WHERE batch_size=1) AS speedup FROM td")
+def throughput(spark, d):
+    return q.throughput(_batches(spark, d))
+
+
+@query(f"WITH {_BATCHES} SELECT batch_size, documents_per_second FROM td ORDER BY documents_per_second DESC, batch_size LIMIT 1")
+def best_batch_size(spark, d):
+    return q.best_batch_size(_batches(spark, d))
+
+
+@query("SELECT o_orderkey AS doc_id, o_orderstatus AS batch, CAST(row_number() OVER k AS INT) AS n, CAST(row_number() OVER k AS DOUBLE)/count(*) OVER (PARTITION BY o_orderstatus) AS share FROM orders WINDOW k AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey)")
+def running_progress(spark, d):
+    done = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderstatus").alias("batch"), F.col("o_orderdate").cast("timestamp").alias("finished"))
+    return q.running_progress(done).select("doc_id", "batch", "n", "share")
+
+
+@query(f"WITH {_V2C} SELECT count(*) AS total_documents, sum(total_fields)::BIGINT AS total_fields_attempted, sum(emitted)::BIGINT AS total_fields_extracted, sum(low)::BIGINT AS filtered_by_confidence, sum(bad)::BIGINT AS filtered_by_bbox, sum(low+bad)::BIGINT AS total_fields_filtered FROM vc", "el")
+def verification_counters(spark, d):
+    none = spark.createDataFrame([], "item_fields_total long, item_fields_found long, fields_found long, fields_total long")
+    return q.verification_counters(e.format_counters(elements(spark, d), 0.8), none).drop("total_items_attempted", "total_items_extracted", "documents_with_missing_fields")
+
+
+@query(f"WITH {_V2C} SELECT sum(low)::BIGINT AS filtered_low_confidence, sum(bad)::BIGINT AS filtered_invalid_bbox, sum(small)::BIGINT AS expanded_bboxes FROM vc", "el")
+def improvements_total(spark, d):
+    each = e.format_counters(elements(spark, d), 0.8).withColumn("resolved_duplicates", F.lit(0)).withColumn("removed_metadata_fields", F.lit(0))
+    return q.improvements_total(each).select("filtered_low_confidence", "filtered_invalid_bbox", "expanded_bboxes")
 
 
 @query("SELECT doc_id, word_idx AS box_id, least(1.0, confidence+0.15) - confidence AS confidence_change, (least(1.0, confidence+0.15) - confidence)/confidence*100 AS confidence_percent, (x1-x0+4)*(y1-y0)-(x1-x0)*(y1-y0) AS area_change, CASE WHEN (x1-x0)*(y1-y0) > 0 THEN CAST((x1-x0+4)*(y1-y0)-(x1-x0)*(y1-y0) AS DOUBLE)/((x1-x0)*(y1-y0))*100 ELSE 0.0 END AS area_percent FROM wi".replace("1.0, confidence+0.15", "CAST(1.0 AS DOUBLE), confidence+CAST(0.15 AS DOUBLE)"), "wi")
@@ -369,7 +398,7 @@ def reorg_validate(spark, d):
 
 @query("SELECT count(*) AS total, CAST(sum(CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END) AS BIGINT) AS accepted, CAST(sum(CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END)*100.0/count(*) AS DOUBLE) AS success_percent FROM orders")
 def dataset_summary(spark, d):
-    return s.dataset_summary(s.reorganize(_files(spark, d))).withColumn("success_percent", F.col("accepted") * F.lit(100.0) / F.col("total"))
+    return s.dataset_summary(s.reorganize(_files(spark, d)))
 
 
 @query("SELECT name FROM (SELECT o_orderkey || CASE o_orderstatus WHEN 'P' THEN '_metadata.json' WHEN 'O' THEN '_checkpoint.json' ELSE '_layout.json' END AS name FROM orders) WHERE name LIKE '%layout%'")

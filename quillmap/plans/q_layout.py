@@ -118,9 +118,9 @@ def detect_columns_v2(spark, d):
     return y.detect_columns_v2(y.table_words(_pages(spark, d)))
 
 
-@query("WITH tw AS (SELECT * FROM wi WHERE y0 >= 300), " + _C2 + ", hd AS (SELECT doc_id, min(y0) m FROM tw GROUP BY 1), hits AS (SELECT doc_id, x_start, arg_min(nme, word_idx) nme FROM (SELECT c2.doc_id, c2.x_start, word_idx, CASE " + " ".join(f"WHEN contains(lower(text), '{a}') THEN '{b}'" for a, b in y.COLUMN_NAMES) + " END nme FROM tw JOIN hd USING (doc_id) JOIN c2 USING (doc_id) WHERE x0 >= x_start AND x0 < x_end AND y0 < m+50) WHERE nme IS NOT NULL GROUP BY ALL) SELECT c2.*, coalesce(nme, 'col_' || x_start) AS name FROM c2 LEFT JOIN hits USING (doc_id, x_start)", "wi")
+@query("WITH tw AS MATERIALIZED (SELECT * FROM wi), " + _C2 + ", hd AS (SELECT doc_id, min(y0) m FROM tw GROUP BY 1), hits AS (SELECT doc_id, x_start, arg_min(nme, word_idx) nme FROM (SELECT c2.doc_id, c2.x_start, word_idx, CASE " + " ".join(f"WHEN contains(lower(text), '{a}') THEN '{b}'" for a, b in y.COLUMN_NAMES) + " END nme FROM (SELECT tw.* FROM tw JOIN hd USING (doc_id) WHERE y0 < m+50) tp JOIN c2 ON tp.doc_id=c2.doc_id AND x0 >= x_start AND x0 < x_end) WHERE nme IS NOT NULL GROUP BY ALL) SELECT c2.*, coalesce(nme, 'col_' || x_start) AS name FROM c2 LEFT JOIN hits USING (doc_id, x_start)", "wi")
 def column_names(spark, d):
-    w = words_inv(spark, d).filter("y0 >= 300")
+    w = words_inv(spark, d)
     return y.column_names(w, y.detect_columns_v2(w))
 
 
@@ -129,10 +129,10 @@ def table_header(spark, d):
     return y.table_header(y.table_words(_pages(spark, d))).select("doc_id", "word_idx")
 
 
-@query("WITH tw AS (SELECT * FROM wi WHERE y0 >= 300), " + _BAND + ", " + _C2 + """, cells AS (SELECT bw.doc_id, row_id, x_start, CASE WHEN x_start > 500 THEN 'right' ELSE 'col_' || x_start END nme, string_agg(text, ' ' ORDER BY word_idx) v FROM bw JOIN c2 USING (doc_id) WHERE x0 >= x_start AND x0 < x_end GROUP BY ALL)
+@query("WITH tw AS MATERIALIZED (SELECT * FROM wi), " + _BAND + ", " + _C2 + """, cells AS (SELECT bw.doc_id, row_id, x_start, CASE WHEN x_start > 500 THEN 'right' ELSE 'col_' || x_start END nme, string_agg(text, ' ' ORDER BY word_idx) v FROM bw JOIN c2 USING (doc_id) WHERE x0 >= x_start AND x0 < x_end GROUP BY ALL)
 SELECT doc_id, row_id, nme AS "name", arg_max(v, x_start) AS value FROM cells GROUP BY ALL""", "wi")
 def extract_columns_v2(spark, d):
-    w = words_inv(spark, d).filter("y0 >= 300")
+    w = words_inv(spark, d)
     columns = y.detect_columns_v2(w).withColumn("name", F.when(F.col("x_start") > 500, "right").otherwise(F.concat(F.lit("col_"), F.col("x_start").cast("string"))))
     return y.extract_columns_v2(y.banded_rows(w), columns)
 
@@ -151,6 +151,11 @@ def table_stats(spark, d):
     return y.table_stats(y.detect_table_v2(_pages(spark, d)))
 
 
+@query(f"WITH {WD}, {REGIONS} SELECT doc_id, count(DISTINCT page) AS num_pages, count(*) AS total_words, round(count(*)/CAST(count(DISTINCT page) AS DOUBLE), 1) AS avg_words_per_page, count(*) FILTER (region='header') AS header_words, count(*) FILTER (region='items') AS items_words, count(*) FILTER (region='totals') AS totals_words FROM ra GROUP BY doc_id", "wd")
+def extraction_metadata_v2(spark, d):
+    return q.extraction_metadata_v2(y.assign_regions(words_doc(spark, d)))
+
+
 @query(f"WITH {WD}, {EXTRACTION} SELECT * FROM es", "wd")
 def extraction_stats(spark, d):
     return q.extraction_stats(words_doc(spark, d))

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillmap.fixtures import fields_inv, words_doc, words_inv
+from quillmap.fixtures import fields_inv, words_doc, words_inv, words_pages
 from quillmap.functions import geometry as g
 from quillmap.functions import text as t
 from quillmap.operators import elements as e
 from quillmap.operators import layout
 from quillmap.operators import matching as m
 from quillmap.operators import quality as q
+from quillmap.sources import tables as s
 from quillmap.plans.registry import query
-from quillmap.plans.sql import DECIMAL, EXACT, NUMBERS, RATES, STRIP, norm
+from quillmap.plans.sql import DECIMAL, EXACT, NUMBERS, RATES, ROWS, STRIP, best_runs, item_rows, matched, norm, one_word, roles, up_to_nine
 
 BOX = ["x0", "y0", "x1", "y1"]
 
@@ -39,16 +40,32 @@ def keyword_family(spark, d):
     return fields_inv(spark, d).select("field_name").distinct().select("field_name", t.keyword_family(F.col("field_name")).alias("family"))
 
 
-@query("SELECT doc_id, section, count(*) AS n, count(DISTINCT item_idx) AS items FROM fi GROUP BY ALL", "fi")
+def _annotations(spark, d):
+    """Each order as a JSON annotation with its items and instalments."""
+    read = lambda n: spark.read.parquet(f"{d}/{n}.parquet")
+    item = F.struct(F.col("l_partkey").alias("codigo"), F.col("l_quantity").cast("long").alias("cantidad"), F.nullif("l_returnflag", F.lit("N")).alias("modo"))
+    items = read("lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", item.alias("item")))), lambda x: x["item"]).alias("items"))
+    o = read("orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").alias("cliente"), F.nullif("o_orderstatus", F.lit("F")).alias("estado"), F.col("o_orderpriority").alias("prioridad"), F.lit("").alias("nota"), F.array(F.struct(F.lit(1).alias("cuota"))).alias("cuotas"))
+    whole = o.join(items, "doc_id", "left").select("doc_id", F.to_json(F.struct("cliente", "estado", "items", "prioridad", "nota", "cuotas"), {"ignoreNullFields": "false"}).alias("annotation"))
+    return s.split_annotation(whole)
+
+
+_WORDED = r"CASE WHEN len(list_filter(regexp_split_to_array(v, '\s+'), lambda x: x <> '')) > 1 THEN 'multiword' ELSE 'single' END"
+_SPLIT = f"""sp AS (SELECT o_orderkey doc_id, 'header' section, -1 item_idx, k ord, f field_name, v AS value, CASE WHEN k=0 THEN 'numeric' ELSE {_WORDED} END kind FROM (SELECT o_orderkey, unnest([0,1,2]) k, unnest(['cliente','estado','prioridad']) f, unnest([CAST(o_custkey AS VARCHAR), nullif(o_orderstatus,'F'), o_orderpriority]) v FROM orders) WHERE v IS NOT NULL AND v <> ''
+ UNION ALL SELECT doc_id, 'items', CAST(i AS INT), k, f, v, CASE WHEN k<2 THEN 'numeric' ELSE {_WORDED} END FROM (SELECT l_orderkey doc_id, i, unnest([0,1,2]) k, unnest(['codigo','cantidad','modo']) f, unnest([CAST(l_partkey AS VARCHAR), CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), nullif(l_returnflag,'N')]) v FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)-1 i FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))) WHERE v IS NOT NULL AND v <> '')"""
+
+
+@query(f"WITH {_SPLIT} SELECT doc_id, section, item_idx, field_name, value, kind FROM sp")
 def annotation_split(spark, d):
-    return fields_inv(spark, d).groupBy("doc_id", "section").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_idx").alias("items"))
+    return _annotations(spark, d).drop("ord")
 
 
-@query("SELECT o_orderkey AS doc_id, ord, field_name, value FROM (SELECT o_orderkey, unnest([0,1,2,3]) AS ord, unnest(['cliente','estado','prioridad','comentario']) AS field_name, unnest([CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderpriority, nullif(o_orderstatus, 'F')]) AS value FROM orders) WHERE value IS NOT NULL AND value <> ''")
+@query(f"WITH {_SPLIT} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS INT) AS place, field_name, value FROM sp WHERE section = 'header'")
 def unpivot_fields(spark, d):
-    o = spark.read.parquet(f"{d}/orders.parquet")
-    pairs = F.map_from_arrays(F.array(*map(F.lit, ("cliente", "estado", "prioridad", "comentario"))), F.array(F.col("o_custkey").cast("string"), "o_orderstatus", "o_orderpriority", F.nullif("o_orderstatus", F.lit("F"))))
-    return o.select(F.col("o_orderkey").alias("doc_id"), F.posexplode(F.map_entries(pairs)).alias("ord", "kv")).select("doc_id", "ord", F.col("kv.key").alias("field_name"), F.col("kv.value").alias("value")).filter(m.present(F.col("value")))
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))
+    return _annotations(spark, d).filter("section = 'header'").select("doc_id", place.alias("place"), "field_name", "value")
 
 
 @query("SELECT field_name, count(*) AS n FROM (SELECT field_name FROM fi UNION ALL SELECT unnest(['match_score','word_count','augmentation']) FROM orders) WHERE field_name NOT IN ('augmentation','is_augmented','extraction_method','rotation_corrected','match_score','word_count') GROUP BY ALL", "fi")
@@ -64,7 +81,7 @@ def field_kind(spark, d):
 
 @query("SELECT doc_id, field_name, value FROM fi WHERE field_name IN (" + ", ".join(f"'{x}'" for x in q.TOTALS_FIELDS) + ") AND value IS NOT NULL AND value <> ''", "fi")
 def totals_fields(spark, d):
-    return fields_inv(spark, d).filter(F.col("field_name").isin(q.TOTALS_FIELDS) & m.present(F.col("value"))).select("doc_id", "field_name", "value")
+    return q.totals_fields(fields_inv(spark, d)).select("doc_id", "field_name", "value")
 
 
 @query("SELECT doc_id, list_sort(list_filter(['descuento','fecha_emision','igv','importe_total','serie_completa'], lambda x: NOT list_contains(have, x))) AS missing FROM (SELECT doc_id, list(field_name) FILTER (value IS NOT NULL AND value <> '') have FROM fi GROUP BY doc_id)", "fi")
@@ -94,17 +111,21 @@ def match_numeric_strip_separators(spark, d):
     return m.match_numeric(fields_inv(spark, d).filter("kind = 'numeric'"), words_inv(spark, d), mode="strip_separators")
 
 
-@query()
+def _of_kind(kind: str) -> str:
+    return f"f AS (SELECT *, {norm('value')} nq FROM fi WHERE kind = '{kind}' AND value IS NOT NULL AND trim(value) <> '')"
+
+
+@query(f"WITH w AS MATERIALIZED ({one_word('wi')}), {_of_kind('single')}, {best_runs('b', 'f', 'w')} SELECT * EXCLUDE (n) FROM b", "wi fi")
 def match_fuzzy(spark, d):
     return m.match_fuzzy(fields_inv(spark, d).filter("kind = 'single'"), words_inv(spark, d))
 
 
-@query()
+@query(f"WITH w AS MATERIALIZED ({up_to_nine('wi')}), {_of_kind('multiword')}, {best_runs('b', 'f', 'w')} SELECT * RENAME (n AS word_count) FROM b", "wi fi")
 def match_multiword(spark, d):
     return m.match_multiword(fields_inv(spark, d).filter("kind = 'multiword'"), words_inv(spark, d))
 
 
-@query()
+@query(f"WITH {matched('m', 'fi', 'wi')} SELECT * FROM m", "wi fi")
 def match_fields(spark, d):
     return m.match_fields(fields_inv(spark, d), words_inv(spark, d))
 
@@ -114,24 +135,31 @@ def match_five_strategy(spark, d):
     return m.match_five_strategy(fields_inv(spark, d), words_inv(spark, d))
 
 
-@query()
+_FULL_ROWS = f"w AS (SELECT * FROM wp), {ROWS}, tr AS (SELECT * EXCLUDE (c, row_pos) FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page, row_id) c FROM rw) WHERE c >= 2)"
+
+
+@query(f"WITH {_FULL_ROWS}, {item_rows('b', 'fi', 'tr')} SELECT DISTINCT doc_id, item_idx, page, row_id, fields_matched, row_score AS match_score FROM b", "wp fi")
 def map_items_rows(spark, d):
-    return m.map_items_rows(fields_inv(spark, d), layout.filter_table_rows(layout.detect_rows(words_inv(spark, d)), 2))
+    return m.map_items_rows(fields_inv(spark, d), layout.filter_table_rows(layout.detect_rows(words_pages(spark, d)), 2))
 
 
-@query()
+_BANDS = """bd AS (SELECT *, CAST(floor(y0/10.0)*10 AS INT) band FROM wp), rk AS (SELECT *, dense_rank() OVER (PARTITION BY doc_id, page ORDER BY band) k FROM bd),
+tr AS (SELECT * EXCLUDE (k, nk), CAST(CASE WHEN nk > 1 THEN k-2 ELSE 0 END AS INT) row_id FROM (SELECT *, max(k) OVER (PARTITION BY doc_id, page) nk FROM rk) WHERE k > 1 OR nk = 1)"""
+
+
+@query(f"WITH {_BANDS}, {item_rows('b', 'fi', 'tr')} SELECT DISTINCT doc_id, item_idx AS item_index, page, row_id, fields_matched, row_score AS match_score FROM b", "wp fi")
 def map_items_rows_v2(spark, d):
-    return m.map_items_rows(fields_inv(spark, d), layout.banded_rows(words_inv(spark, d).filter("y0 >= 300"))).withColumnRenamed("item_idx", "item_index")
+    return m.map_items_rows_v2(fields_inv(spark, d), words_pages(spark, d))
 
 
-@query()
+@query(f"WITH {roles('ro', 'fi', 'wp')} SELECT * FROM ro", "wp fi")
 def split_pages(spark, d):
-    return m.split_pages(fields_inv(spark, d), words_inv(spark, d))
+    return m.split_pages(fields_inv(spark, d), words_pages(spark, d))
 
 
-@query("SELECT doc_id, i AS word_idx, p[1] AS page, n, array_to_string(t[1:n], ' ') AS text, list_min(a[1:n]) AS x0, list_min(b[1:n]) AS y0, list_max(c[1:n]) AS x1, list_max(e[1:n]) AS y1 FROM (SELECT *, unnest(range(1, len(t)+1))::INT AS n FROM (SELECT doc_id, word_idx AS i, list(text) OVER k t, list(page) OVER k p, list(x0) OVER k a, list(y0) OVER k b, list(x1) OVER k c, list(y1) OVER k e FROM wi WINDOW k AS (PARTITION BY doc_id ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 8 FOLLOWING)))", "wi")
+@query("SELECT doc_id, i AS word_idx, p[1] AS page, n, array_to_string(t[1:n], ' ') AS text, list_min(a[1:n]) AS x0, list_min(b[1:n]) AS y0, list_max(c[1:n]) AS x1, list_max(e[1:n]) AS y1, round(list_sum(z[1:n])/n, 9) AS confidence FROM (SELECT *, unnest(range(1, len(t)+1))::INT AS n FROM (SELECT doc_id, word_idx AS i, list(text) OVER k t, list(page) OVER k p, list(x0) OVER k a, list(y0) OVER k b, list(x1) OVER k c, list(y1) OVER k e, list(confidence) OVER k z FROM wi WINDOW k AS (PARTITION BY doc_id ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 8 FOLLOWING)))", "wi")
 def word_ngrams(spark, d):
-    return m.word_ngrams(words_inv(spark, d)).drop("confidence")
+    return m.word_ngrams(words_inv(spark, d)).withColumn("confidence", F.round("confidence", 9))
 
 
 def _boxes(spark, d):
@@ -145,15 +173,24 @@ _NEAR = """SELECT b.doc_id, b.box_id, b.field_name, b.x0 bx0, w.word_idx, w.text
  sqrt(((b.x0+b.x1)/2.0-(w.x0+w.x1)/2.0)*((b.x0+b.x1)/2.0-(w.x0+w.x1)/2.0)+((b.y0+b.y1)/2.0-(w.y0+w.y1)/2.0)*((b.y0+b.y1)/2.0-(w.y0+w.y1)/2.0)) dist FROM bx b JOIN wi w ON b.doc_id=w.doc_id"""
 
 
-@query(f"WITH {EXACT}, {_BX}, nb AS ({_NEAR}) SELECT doc_id, box_id, word_idx, dist AS distance FROM nb WHERE dist < 100", "wi fi")
+def _near(distance: int) -> str:
+    """CTE nb: boxes and the words within the distance, met by cells of the page."""
+    cell = f"floor((x0+x1)/2.0/{distance}) cx, floor((y0+y1)/2.0/{distance}) cy"
+    return f"""bc AS (SELECT * EXCLUDE (cx, cy), cx+i cx, cy+j cy FROM (SELECT *, {cell} FROM bx), (SELECT unnest([-1,0,1]) i) a, (SELECT unnest([-1,0,1]) j) c), wc AS (SELECT *, {cell} FROM wi),
+nb AS (SELECT * FROM ({_NEAR.replace('FROM bx b JOIN wi w ON b.doc_id=w.doc_id', 'FROM bc b JOIN wc w ON b.doc_id=w.doc_id AND b.cx=w.cx AND b.cy=w.cy')}) WHERE dist < {distance})"""
+
+
+@query(f"WITH {EXACT}, {_BX}, {_near(100)} SELECT doc_id, box_id, word_idx, dist AS distance FROM nb", "wi fi")
 def nearby_words(spark, d):
     return m.nearby_words(_boxes(spark, d), words_inv(spark, d), 100).select("doc_id", "box_id", "word_idx", "distance")
 
 
+#: Whether a text has a known pattern.
+_ANY = "(" + " OR ".join(f"regexp_matches(text, '(?i){p}')" for _, p in t.PATTERNS) + ")"
 _KEYS = "CASE " + " ".join("WHEN contains(lower(field_name), '{}') THEN regexp_matches(lower(text), '{}')".format(n, "|".join(w.replace(".", "[.]") for w in ws)) for n, ws in t.FAMILIES.items()) + " ELSE false END"
 
 
-@query(f"WITH {EXACT}, {_BX}, nb AS ({_NEAR}) SELECT bx.doc_id, bx.box_id, round(least(0.3, coalesce(s, 0.0)), 9) AS boost FROM bx LEFT JOIN (SELECT doc_id, box_id, sum(0.1*(1-dist/50)) s FROM nb WHERE dist < 50 AND {_KEYS} GROUP BY ALL) USING (doc_id, box_id)", "wi fi")
+@query(f"WITH {EXACT}, {_BX}, {_near(50)} SELECT bx.doc_id, bx.box_id, round(least(0.3, coalesce(s, 0.0)), 9) AS boost FROM bx LEFT JOIN (SELECT doc_id, box_id, sum(0.1*(1-dist/50)) s FROM nb WHERE dist < 50 AND {_KEYS} GROUP BY ALL) USING (doc_id, box_id)", "wi fi")
 def context_boost(spark, d):
     return m.context_boost(_boxes(spark, d), words_inv(spark, d)).withColumn("boost", F.round("boost", 9))
 
@@ -228,9 +265,9 @@ def rate_histogram(spark, d):
     return q.histogram(_rates(spark, d), "match_rate")
 
 
-@query(f"WITH {EXACT}, {RATES} SELECT count(*) AS documents, CAST(sum(fields_found) AS BIGINT) AS fields_found, CAST(sum(fields_total) AS BIGINT) AS fields_total, CAST(sum(CASE WHEN match_rate > 0 THEN 1 ELSE 0 END) AS BIGINT) AS with_match FROM (SELECT * FROM rr ORDER BY md5('audit' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100)", "wi fi")
+@query(f"WITH {EXACT}, {RATES} SELECT count(*) AS documents, CAST(sum(fields_found) AS BIGINT) AS fields_found, CAST(sum(fields_total) AS BIGINT) AS fields_total, CAST(sum(CASE WHEN match_rate > 0 THEN 1 ELSE 0 END) AS BIGINT) AS with_match, round(avg(CASE WHEN match_rate > 0 THEN match_rate END), 9) AS mean_rate FROM (SELECT * FROM rr ORDER BY md5('audit' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100)", "wi fi")
 def sample_audit(spark, d):
-    return q.sample_audit(_rates(spark, d))
+    return q.sample_audit(_rates(spark, d)).withColumn("mean_rate", F.round("mean_rate", 9))
 
 
 def _runs(spark, d):
@@ -246,13 +283,16 @@ def batch_stats(spark, d):
     return q.batch_stats(_runs(spark, d)).withColumn("avg_header_match_rate", F.round("avg_header_match_rate", 9)).withColumn("avg_items_match_rate", F.round("avg_items_match_rate", 9))
 
 
-@query("SELECT split_part(field_name, '_', 1) AS prefix, count(*) AS count FROM fi GROUP BY ALL", "fi")
+@query("SELECT CASE WHEN section='items' THEN 'item' ELSE field_name END AS prefix, count(*) AS count FROM fi GROUP BY ALL", "fi")
 def field_prefix_counts(spark, d):
-    return q.field_prefix_counts(fields_inv(spark, d))
+    name = F.when(F.col("section") == "items", F.concat(F.lit("item."), F.col("field_name"))).otherwise(F.col("field_name"))
+    return q.field_prefix_counts(fields_inv(spark, d).withColumn("field_name", name))
 
 
 @query(f"""WITH {EXACT}, en AS (SELECT *, CASE """ + " ".join(f"WHEN regexp_matches(text, '(?i){p}') THEN '{n}'" for n, p in t.PATTERNS) + """ END pattern FROM ex)
 SELECT doc_id, section, item_idx, ord, pattern, CASE WHEN pattern IS NULL THEN confidence ELSE least(CAST(1.0 AS DOUBLE), confidence + CAST(0.15 AS DOUBLE)) END AS confidence FROM en""", "wi fi")
 def pattern_boost(spark, d):
-    ex = m.match_exact(fields_inv(spark, d), words_inv(spark, d)).withColumn("pattern", t.detect_pattern(F.col("text")))
-    return ex.select("doc_id", "section", "item_idx", "ord", "pattern", F.when(F.col("pattern").isNull(), F.col("confidence")).otherwise(F.least(F.lit(1.0), F.col("confidence") + 0.15)).alias("confidence"))
+    from quillmap.plans.pipelines import enhance_match, with_box_id
+
+    w = words_inv(spark, d)
+    return enhance_match(with_box_id(m.match_exact(fields_inv(spark, d), w)), w).select("doc_id", "section", "item_idx", "ord", F.col("pattern_detected").alias("pattern"), "confidence")

@@ -4,34 +4,68 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillmap.fixtures import fields_inv, table, words_inv
+from quillmap.fixtures import fields_inv, table, words_inv, words_pages
+from quillmap.operators import elements as e
 from quillmap.operators import quality as q
 from quillmap.plans import pipelines as p
 from quillmap.plans.registry import query
+from quillmap.operators.matching import match_exact
+from quillmap.plans.q_elements import _V2
+from quillmap.plans.q_matching import _ANY, _BX, _KEYS, _near
+from quillmap.plans.sql import EXACT, EXTRACTION, ROWS, item_rows, matched, positions, rates, roles
 
 SHOWN = ["doc_id", "position", "id", "text", "x0", "y0", "x1", "y1", "field_name", "page", "confidence"]
 
 
-@query()
+@query(f"WITH {matched('m', 'fi', 'wi')} {positions('m')}", "wi fi")
 def single_page(spark, d):
     return p.single_page(fields_inv(spark, d), words_inv(spark, d)).select(*SHOWN)
 
 
-@query()
+@query(f"WITH hf AS (SELECT * FROM fi WHERE section='header'), {matched('m', 'hf', 'wi')} SELECT * FROM ({positions('m')})", "wi fi")
+def header_elements(spark, d):
+    return e.reading_order(p.header_elements(fields_inv(spark, d), words_inv(spark, d))).select(*SHOWN)
+
+
+@query(f"WITH tf AS (SELECT * FROM fi WHERE section='items'), {matched('m', 'tf', 'wi')} SELECT * FROM ({positions('m')})", "wi fi")
+def item_elements(spark, d):
+    return e.reading_order(p.item_elements(fields_inv(spark, d), words_inv(spark, d))).select(*SHOWN)
+
+
+_TABLE = "tr AS (SELECT * EXCLUDE (c, row_pos) FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page, row_id) c FROM rw) WHERE c >= 2)"
+
+
+@query(f"WITH w AS (SELECT * FROM wp), {ROWS}, {_TABLE}, {item_rows('b', 'fi', 'tr')} SELECT doc_id, item_idx, ord, page, row_id, word_idx, match_score FROM b", "wp fi")
 def items_via_table(spark, d):
-    return p.items_via_table(fields_inv(spark, d), words_inv(spark, d)).select("doc_id", "item_idx", "ord", "word_idx", "match_score")
+    return p.items_via_table(fields_inv(spark, d), words_pages(spark, d)).select("doc_id", "item_idx", "ord", "page", "row_id", "word_idx", "match_score")
 
 
-@query()
+def _by_role(several: str, fields: str = "fi") -> str:
+    """CTEs ending in `al`: matches of the documents in `several` by their pages' roles, of all others as a whole."""
+    return f"""pf AS (SELECT * FROM {fields} WHERE doc_id IN ({several})), pw AS (SELECT * FROM wp WHERE doc_id IN ({several})), {roles('ro', 'pf', 'pw')},
+hw AS (SELECT wp.* FROM wp LEFT JOIN ro USING (doc_id, page) WHERE "role" IS NULL OR "role" = 'header'), hf AS (SELECT * FROM pf WHERE section='header' UNION ALL SELECT * FROM {fields} WHERE doc_id NOT IN ({several})), {matched('m', 'hf', 'hw')},
+w AS (SELECT wp.* FROM wp JOIN ro USING (doc_id, page) WHERE "role" = 'items'), {ROWS}, {_TABLE}, {item_rows('b', 'pf', 'tr')},
+al AS (SELECT doc_id, section, item_idx, ord, field_name, page, "text", x0, y0, x1, y1, confidence FROM m UNION ALL SELECT doc_id, section, item_idx, ord, field_name, page, "text", x0, y0, x1, y1, confidence FROM b)"""
+
+
+_ALL, _SEVERAL = "SELECT doc_id FROM wp", "SELECT doc_id FROM wp GROUP BY doc_id HAVING count(DISTINCT page) > 1"
+
+
+@query(f"WITH {_by_role(_ALL)} SELECT * FROM ({positions('al')})", "wp fi")
 def multi_page(spark, d):
-    w = words_inv(spark, d).withColumn("page", F.when(F.col("y0") >= 300, 1).otherwise(0))
-    return p.multi_page(fields_inv(spark, d), w).select(*SHOWN)
+    return p.multi_page(fields_inv(spark, d), words_pages(spark, d)).select(*SHOWN)
 
 
-@query()
+@query(f"WITH {_by_role(_SEVERAL)} SELECT * FROM ({positions('al')})", "wp fi")
+def process_documents(spark, d):
+    return p.process_documents(fields_inv(spark, d), words_pages(spark, d)).select(*SHOWN)
+
+
+@query(f"""WITH td AS (SELECT * FROM fi WHERE doc_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus='F')), {_by_role(_SEVERAL, 'td')}, {rates('rr', 'td', 'al')}
+SELECT doc_id, CASE WHEN doc_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus='F') THEN 'skipped' ELSE 'processed' END AS status, rr.* EXCLUDE (doc_id) FROM (SELECT DISTINCT doc_id FROM fi) LEFT JOIN rr USING (doc_id)""", "wp fi")
 def process_batch(spark, d):
     done = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("doc_id"))
-    return p.process_batch(fields_inv(spark, d), words_inv(spark, d), done)
+    return p.process_batch(fields_inv(spark, d), words_pages(spark, d), done)
 
 
 @query()
@@ -39,12 +73,22 @@ def enrich_fields(spark, d):
     return p.enrich_fields(fields_inv(spark, d), words_inv(spark, d))
 
 
-@query()
+@query(f"""WITH {EXACT}, {_BX}, {_near(50)}, bo AS (SELECT doc_id, box_id, least(0.3, sum(0.1*(1-dist/50))) s FROM nb WHERE {_KEYS} GROUP BY ALL)
+SELECT doc_id, section, item_idx, ord, CASE WHEN regexp_matches(field_name, 'precio|monto|total|subtotal|igv') THEN least(x0, coalesce((SELECT min(w.x0) FROM wi w WHERE w.doc_id=bx.doc_id AND regexp_matches(w.text, '^S/?[.]?$') AND w.x1 <= bx.x0 AND sqrt(pow((w.x0+w.x1)/2.0-(bx.x0+bx.x1)/2.0,2)+pow((w.y0+w.y1)/2.0-(bx.y0+bx.y1)/2.0,2)) < 30), x0)) ELSE x0 END AS x0, y0, x1, y1,
+ round(least(1.0, CASE WHEN {_ANY} THEN least(1.0, confidence+0.15) ELSE confidence END + coalesce(s, 0)), 9) AS confidence FROM bx LEFT JOIN bo USING (doc_id, box_id)""", "wi fi")
 def enhance_match(spark, d):
-    from quillmap.operators.matching import match_exact
-
     w = words_inv(spark, d)
-    return p.enhance_match(p.with_box_id(match_exact(fields_inv(spark, d), w)), w, w).select("doc_id", "box_id", "x0", "y0", "x1", "y1", F.round("confidence", 9).alias("confidence"))
+    return p.enhance_match(p.with_box_id(match_exact(fields_inv(spark, d), w)), w, w).select("doc_id", "section", "item_idx", "ord", "x0", "y0", "x1", "y1", F.round("confidence", 9).alias("confidence"))
+
+
+@query()
+def enrich_items(spark, d):
+    return p.enrich_items(fields_inv(spark, d), words_inv(spark, d))
+
+
+@query(f"WITH hf AS (SELECT * FROM fi WHERE section='header'), {matched('m', 'hf', 'wi')}, el AS (SELECT *, word_idx AS id FROM m), {_V2.replace('0.8', '0.5')} SELECT doc_id, field_name, [f0,f1,f2,f3] AS box FROM fx", "wi fi")
+def header_elements_v2(spark, d):
+    return p.header_elements_v2(fields_inv(spark, d), words_inv(spark, d)).select("doc_id", "field_name", F.array("x0", "y0", "x1", "y1").alias("box"))
 
 
 @query()
@@ -57,11 +101,9 @@ def optimized_pipeline(spark, d):
     return p.optimized_pipeline(fields_inv(spark, d), words_inv(spark, d)).select(*SHOWN)
 
 
-@query()
+@query(f"""WITH {EXACT}, {rates('rr', 'fi', 'ex')}, w AS (SELECT * FROM wi), {EXTRACTION} SELECT rr.doc_id, num_pages, "method", 0 AS orientation_detected, header_total, header_found, header_match_rate, items_total, item_fields_total, item_fields_found, items_match_rate, coalesce(c, 0) AS total_elements, total_words, words_per_page, avg_confidence,
+ list_filter([CASE WHEN header_match_rate < 0.85 THEN 'header_match_rate' END, CASE WHEN items_match_rate < 0.85 THEN 'items_match_rate' END], lambda x: x IS NOT NULL) AS warnings, CAST([] AS VARCHAR[]) AS errors, 'processed' AS status FROM rr JOIN es USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) c FROM ex GROUP BY 1) USING (doc_id)""", "wi fi")
 def document_metadata(spark, d):
-    from quillmap.operators.elements import document_stats
-    from quillmap.operators.matching import match_exact
-
     f, w = fields_inv(spark, d), words_inv(spark, d)
     found = match_exact(f, w)
-    return q.document_metadata(q.match_rates(f, found), q.extraction_stats(w), document_stats(found.withColumn("id", F.col("word_idx"))))
+    return q.document_metadata(q.match_rates(f, found), q.extraction_stats(w), e.document_stats(found.withColumn("id", F.col("word_idx"))))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from quillmap.fixtures import ELEMENTS, FIELDS_INV, WORDS_DOC, WORDS_INV
+from quillmap.fixtures import ELEMENTS, FIELDS_INV, WORDS_DOC, WORDS_INV, WORDS_PAGES
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-FIXTURES = {"wd": WORDS_DOC, "wi": WORDS_INV, "fi": FIELDS_INV, "el": ELEMENTS}
+FIXTURES = {"wd": WORDS_DOC, "wi": WORDS_INV, "fi": FIELDS_INV, "el": ELEMENTS, "wp": WORDS_PAGES}
 
 
 def query(sql: str | None = None, use: str = ""):

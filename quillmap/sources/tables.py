@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillmap.functions.text import value_kind
 
-def scan_files(spark: SparkSession, directory: str, pattern: str = "*.pdf") -> DataFrame:
-    """path, modificationTime, length, content of the files of a directory."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+
+def scan_files(spark: SparkSession, directory: str, pattern: str = "*.pdf", most: int | None = None) -> DataFrame:
+    """path, modificationTime, length, content of the files of a directory; with `most` the first by path.
+
+    The first are found by their paths alone, before any content is read.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+    return files if most is None else files.join(files.select("path").orderBy("path").limit(most), "path", "left_semi")
 
 
 def scan_slice(paths: DataFrame, start: int = 0, end: int | None = None, most: int | None = None, column: str = "path") -> DataFrame:
-    """Rows from `start` before `end` of the listing in order, at most `most`: offset and limit keep it distributed."""
+    """Rows from `start` before `end` of the listing in order, at most `most`. The listing is sorted by all tasks; an offset's rows are passed over in one."""
     rows = paths.orderBy(column)
     n = None if end is None else max(0, end - start)
     n = most if n is None else n if most is None else min(n, most)
@@ -46,6 +52,24 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select("stem", "ord", "key", value.alias("value"), kind.alias("kind"))
 
 
+def split_annotation(annotations: DataFrame, column: str = "annotation") -> DataFrame:
+    """Fields of JSON annotations: doc_id, section, item_idx, ord, field_name, value, kind, in the object's order.
+
+    The key items holds a list of objects, whose fields are items' fields; cuotas is left
+    out; all other keys are the header's. Null and empty values are dropped, ord counts them.
+    """
+    pairs = annotations.select("doc_id", F.from_json(column, "map<string,variant>").alias("m"))
+    of = lambda m: F.posexplode(F.map_entries(m)).alias("ord", "e")
+    kind_of = F.schema_of_variant("v")
+    out = ["doc_id", "section", "item_idx", "ord", "field_name", "value"]
+    head = pairs.select("doc_id", F.lit("header").alias("section"), F.lit(-1).alias("item_idx"), of(F.map_filter("m", lambda k, v: ~k.isin("items", "cuotas"))))
+    items = pairs.select("doc_id", F.posexplode(F.col("m")["items"].cast("array<map<string,variant>>")).alias("item_idx", "m"))
+    both = head.unionByName(items.select("doc_id", F.lit("items").alias("section"), "item_idx", of("m")))
+    flat = both.select("doc_id", "section", "item_idx", "ord", F.col("e.key").alias("field_name"), F.col("e.value").alias("v")).withColumn("value", F.col("v").cast("string"))
+    numeric = kind_of.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
+    return flat.filter(F.col("value").isNotNull() & (F.col("value") != "")).select(*out, value_kind(F.col("value"), numeric).alias("kind"))
+
+
 def write_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object a line; characters as they are."""
     documents.write.mode(mode).json(path)
@@ -56,15 +80,23 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def output_file_plan(elements: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
-    """doc_id, page, kind, file_name: the header's file and one for each page of items, numbered where chunked."""
-    pages = elements.select("doc_id", "page").distinct()
-    many = F.count(F.lit(1)).over(Window.partitionBy("doc_id")) > 1
-    name = F.when(~many, F.concat(F.col("doc_id"), F.lit("_layout.json"))).when(F.col("page") == 0, F.concat(F.col("doc_id"), F.lit("_header.json"))).otherwise(F.concat(F.col("doc_id"), F.lit("_items_p"), F.col("page"), F.lit(".json")))
-    plan = pages.select("doc_id", "page", F.when(~many, "single").when(F.col("page") == 0, "header").otherwise("items").alias("kind"), name.alias("file_name"))
+    """doc_id, page, kind, file_name: one file for a one-page document, else the header's (page: its first) and one for each page of items.
+
+    elements: doc_id, page and section; without a section page 0 is the header. chunks:
+    doc_id, kind, page, chunk_index of those parts that were cut; only their files are numbered.
+    """
+    section = F.col("section") if "section" in elements.columns else F.when(F.col("page") == 0, "header").otherwise("items")
+    pages = elements.select("doc_id", "page", section.alias("section"))
+    single = F.min("page").over(Window.partitionBy("doc_id")) == F.max("page").over(Window.partitionBy("doc_id"))
+    kind = F.when(F.col("single"), "single").when(F.col("section") == "header", "header").otherwise("items")
+    parts = pages.withColumn("single", single).withColumn("kind", kind).groupBy("doc_id", "kind", F.when(kind == "items", F.col("page")).alias("__page")).agg(F.min("page").alias("page"))
+    name = F.when(F.col("kind") == "single", F.concat(F.col("doc_id"), F.lit("_layout"))).when(F.col("kind") == "header", F.concat(F.col("doc_id"), F.lit("_header"))).otherwise(F.concat(F.col("doc_id"), F.lit("_items_p"), F.col("page")))
+    plan = parts.select("doc_id", "page", "kind", name.alias("stem"))
     if chunks is None:
-        return plan
-    numbered = plan.join(chunks.select("doc_id", "chunk_index").distinct(), "doc_id", "left")
-    return numbered.withColumn("file_name", F.regexp_replace("file_name", r"\.json$", F.concat(F.lit("_chunk_"), F.coalesce("chunk_index", F.lit(0)), F.lit(".json"))))
+        return plan.select("doc_id", "page", "kind", F.concat("stem", F.lit(".json")).alias("file_name"))
+    numbered = plan.join(chunks.select("doc_id", "kind", "page", "chunk_index").distinct(), ["doc_id", "kind", "page"], "left")
+    number = F.when(F.col("chunk_index").isNotNull(), F.concat(F.lit("_chunk_"), F.col("chunk_index"))).otherwise("")
+    return numbered.select("doc_id", "page", "kind", F.concat("stem", number, F.lit(".json")).alias("file_name"))
 
 
 def reorganize(files: DataFrame) -> DataFrame:
@@ -74,7 +106,7 @@ def reorganize(files: DataFrame) -> DataFrame:
 
 
 def dataset_summary(files: DataFrame) -> DataFrame:
-    return files.agg(F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col("status") == "accepted", 1).otherwise(0)).alias("accepted"), (F.sum(F.when(F.col("status") == "accepted", 1).otherwise(0)) * 100.0 / F.count(F.lit(1))).cast("double").alias("success_percent"))
+    return files.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "accepted").alias("accepted"), F.try_divide(F.count_if(F.col("status") == "accepted") * F.lit(100.0), F.count(F.lit(1))).alias("success_percent"))
 
 
 def content_files(files: DataFrame) -> DataFrame:

@@ -82,5 +82,52 @@ def test_normal_form(spark):
 
 
 def test_five_strategies(spark):
-    (r,) = m.match_five_strategy(field(spark, "FACTURA ELECTRONICA"), words(spark, "FACTURA", "x")).collect()
-    assert (r["strategy"], r["match_score"]) == ("substring", 0.95) or r["strategy"] == "partial"
+    one = lambda value, *texts: m.match_five_strategy(field(spark, value), words(spark, *texts)).collect()
+    got = [[(r["strategy"], r["match_score"]) for r in one(*case)] for case in (("FACTURA ELECTRONICA", "FACTURA", "x"), ("FACTURA", "x", "FACTURA"), ("BOLETAS-1", "xBOLETAS-1x"), ("FACTURA", "FACTUR4"), ("uno dos", "dos uno"))]
+    # a word inside a long value is contained (95) and its best window equal (100), which is more
+    assert got == [[("partial", 1.0)], [("exact", 1.0)], [("substring", 0.95)], [("ratio", 12 / 14)], [("token_sort", 1.0)]]
+
+
+def test_partial_and_sorted_tokens(spark):
+    assert s.partial_ratio_of("abc", "xxabcxx") == 100.0 and s.partial_ratio_of("", "a") == 0.0 and s.partial_ratio_of("", "") == 100.0
+    assert round(s.partial_ratio_of("abcd", "xxab"), 6) == round(200 * 2 / 6, 6)  # the window is cut by the end
+    (r,) = spark.createDataFrame([("b a  c",)], "v string").select(s.token_sort(F.col("v")).alias("v")).collect()
+    assert r["v"] == "a b c"
+
+
+def test_ratios_of_many_are_those_of_each():
+    rng = random.Random(2)
+    text = lambda: "".join(rng.choice("abcé ") for _ in range(rng.choice((0, 1, 7, 40, 63, 64, 65, 100))))
+    a, b = [text() for _ in range(300)], [text() for _ in range(300)]
+    assert s.ratios(a, b).tolist() == [s.ratio_of(x, y) for x, y in zip(a, b, strict=True)]
+
+
+def test_functions_by_name(spark):
+    s.register(spark)
+    (r,) = spark.sql("SELECT normalize_text('Ñandú  S.A.') a, similarity_ratio('abc', 'abd') b, partial_ratio('ab', 'xabx') c, similarity_ratio(NULL, 'a') d").collect()
+    assert (r["a"], round(r["b"], 3), r["c"], r["d"]) == ("nandu sa", 66.667, 100.0, None)
+
+
+def test_documented_normal_form(spark):
+    (r,) = spark.createDataFrame([("F001-23 (Nº) é.",)], "v string").select(t.normalize_text_keep_points(F.col("v")).alias("v")).collect()
+    assert r["v"] == "f001-23 nº é."
+
+
+def test_blocks_of_one_document(spark, monkeypatch):
+    """A document in many blocks gives what it gives in one: runs over a block's end, and the first of equal words."""
+    texts = [f"w{i % 13}" for i in range(60)] + ["La", "Positiva", "S.A."] + ["w3"] * 5
+    f = spark.createDataFrame([(1, "header", -1, i, f"f{i}", v, k) for i, (v, k) in enumerate([("w3", "single"), ("La Positiva S.A.", "multiword"), ("w11 w12 w0 w1 w2", "multiword"), ("zzz", "single"), ("...", "single")])], FIELD)
+    run = lambda: sorted((r["ord"], r["word_idx"], r["word_count"], r["text"]) for r in m.match_fields(f, words(spark, *texts)).collect())
+    whole = run()
+    assert whole == [(0, 3, 1, "w3"), (1, 60, 3, "La Positiva S.A."), (2, 11, 5, "w11 w12 w0 w1 w2")]
+    monkeypatch.setattr(m, "BLOCK_WORDS", 9)
+    monkeypatch.setattr(m, "BLOCK_FIELDS", 2)
+    assert run() == whole
+
+
+def test_rows_of_different_pages_are_different(spark):
+    w = spark.createDataFrame([(1, 0, 1, "alpha", 10, 50, 60, 62, 1.0), (1, 1, 1, "beta", 70, 50, 120, 62, 1.0), (1, 2, 2, "gamma", 10, 50, 60, 62, 1.0), (1, 3, 2, "222", 70, 50, 120, 62, 1.0)], WORD)
+    f = spark.createDataFrame([(1, "items", 0, 0, "codigo", "alpha", "single"), (1, "items", 0, 1, "cantidad", "222", "numeric")], FIELD)
+    from quillmap.plans.pipelines import items_via_table
+
+    assert [(r["page"], r["text"]) for r in items_via_table(f, w).collect()] == [(1, "alpha")]

@@ -42,7 +42,7 @@ def test_partial_ratio_cut_is_the_plain_one():
         assert s.partial_ratio_from(a, b, 75) == (plain if plain >= 75 else 0.0)
 
 
-@pytest.mark.parametrize("name", ["split_words_fields", "split_words_v2_fields", "words_consistent_fields"])
+@pytest.mark.parametrize("name", ["split_words", "split_words_v2", "words_consistent"])
 def test_words_of_items_agree_with_sql(spark, few, name):
     duckdb = pytest.importorskip("duckdb")
     db = duckdb.connect()
