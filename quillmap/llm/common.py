@@ -1,49 +1,18 @@
-"""Shared helpers: the cluster's shared folder, written intermediate tables, words."""
+"""Shared helpers: written intermediate tables, workers' caches, words."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmap.storage import removed, shared_path, written  # noqa: F401
+
 #: Words as every operator here counts them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own: dict[str, str] = {}
 _caches: list[dict] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests, one machine), one of our own."""
-    if d := spark.conf.get("spark.checkpoint.dir", None):
-        return d
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="quillmap-")
-        spark.sparkContext.setCheckpointDir(_own[app])
-    return _own[app]
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/quillmap/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
-
-    free: lets Spark's cleaner, which acts when the driver has collected its garbage,
-    remove the shuffle files of jobs that are done.
-    """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    if free:
-        df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def cache() -> dict:
     """A worker's cache, which release() empties."""
     _caches.append({})
