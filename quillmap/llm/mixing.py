@@ -2,11 +2,8 @@
 
 Tokens are aggregated per source, the target shares give every source a repetition
 rate, and each document is emitted floor(rate) times plus one hash-seeded Bernoulli
-copy with probability equal to the fraction. The draws are spread evenly over sizes:
-within a cell of one source (salted by a hash, so that a hot source has many cells)
-the documents are ordered by size and the r-th uniform number is the fraction of
-r * golden ratio + a hash-seeded start. Each document's own probability stays the
-fraction, but the words taken by a source vary far less than with independent draws.
+copy with probability equal to the fraction. A document's draw depends on the seed and
+its id alone, so it stays when other documents come or go, and it costs no shuffle.
 """
 
 from __future__ import annotations
@@ -14,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmap.llm.common import n_words
+from quillmap.llm.common import n_words, written
 
-#: Documents in a cell on average, at most.
-CELL = 8192
-GOLDEN = 0.618033988749895
+#: Most sources whose rates are broadcast; beyond it they are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def _hash(*parts: Column) -> Column:
@@ -49,41 +45,47 @@ def source_targets(sizes: DataFrame, cycle=(1, 2, 3), most: int = 3) -> DataFram
     return per.select("source", "n", "source_size", F.when(F.col("at") < F.col("first.at"), F.col("cap").cast("double")).otherwise(level).alias("target"))
 
 
-def with_copies(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """docs and __size, __source_size, __target, __copies."""
-    sized = docs.withColumn("__size", n_words(F.col(text_col)))
-    targets = source_targets(sized.select(F.col(source_col).alias("source"), F.col("__size").alias("size")))
-    targets = targets.select(F.col("source").alias("__source"), F.col("n").alias("__n"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
-    got = sized.join(targets, F.col(source_col).eqNullSafe(F.col("__source")), "inner")
-    rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size").cast("double")).otherwise(F.lit(0.0))
-    own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    got = got.withColumn("__rate", rate).withColumn("__hash", _hash(F.lit(seed), own)).withColumn("__salt", F.col("__hash") % F.ceil(F.col("__n") / F.lit(CELL)))
-    rank = F.row_number().over(Window.partitionBy("__source", "__salt").orderBy("__size", "__hash", F.col(id_col)))
-    start = _hash(F.lit(seed), F.coalesce(F.col("__source"), F.lit("")), F.col("__salt").cast("string")) / F.lit(float(2**48))
-    u = rank * F.lit(GOLDEN) + start
-    u = u - F.floor(u)
-    copies = F.floor("__rate") + F.when(u < F.col("__rate") - F.floor("__rate"), 1).otherwise(0)
-    return got.withColumn("__copies", copies.cast("long")).drop("__source", "__n", "__rate", "__hash", "__salt")
-
-
-def mix_plan(docs: DataFrame, **how) -> DataFrame:
+def _draw(docs: DataFrame, seed: str, id_col: str, text_col: str) -> Column:
+    """A uniform number of the seed and the id; a row without an id draws by its text."""
+    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    return _hash(F.lit(seed), own) / F.lit(float(2**48))
+
+
+def _copies() -> Column:
+    """floor(rate), and one more where the draw is below the fraction."""
+    size, target = F.col("__t_source_size"), F.col("__t_target")
+    rate = F.when(size > 0, target / size.cast("double")).otherwise(F.lit(0.0))
+    return (F.floor(rate) + F.when(F.col("__draw") < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+
+
+def _with_targets(rows: DataFrame, targets: DataFrame, source_col: str) -> DataFrame:
+    own = targets.withColumnsRenamed({c: f"__t_{c}" for c in targets.columns})
+    side = F.broadcast(own) if targets.count() <= BROADCAST_SOURCES else own
+    return rows.join(side, F.col(source_col).eqNullSafe(F.col("__t_source")))
+
+
+def mix_plan(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row of docs: doc_id, size, source_size, target (its source's), taken.
 
-    A null text has size 0, a null source is a source of its own and comes last; null
-    ids hash as the empty text. Repeated rows each draw. Empty tables give no rows.
-    Sources without words have target 0 and give no copies.
+    A null text has size 0, a null source is a source of its own and comes last. Rows
+    with one id draw alike, so repeated rows are all taken as often as the first; rows
+    without an id draw by their text. Empty tables give no rows. Sources without words
+    have target 0 and give no copies. Other columns are ignored. Each text is read once.
     """
-    return with_copies(docs, **how).select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"))
+    sized = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), _draw(docs, seed, id_col, text_col).alias("__draw")), "sizes")
+    got = _with_targets(sized, written(source_targets(sized), "targets"), "source")
+    return got.select("doc_id", "size", F.col("__t_source_size").alias("source_size"), F.col("__t_target").alias("target"), (F.col("size") * _copies()).alias("taken"))
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The documents of the mix, with docs' columns: as many rows of each as it has copies."""
-    copied = with_copies(docs, **how).filter(F.col("__copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return copied.select(*docs.columns)
+def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents of the mix, with docs' columns: as many rows of each as it has copies, by mix_plan()'s rules."""
+    targets = written(source_targets(docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))), "targets")
+    got = _with_targets(docs.withColumn("__draw", _draw(docs, seed, id_col, text_col)), targets, source_col)
+    return got.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), _copies())).alias("__copy")).drop("__copy")
 
 
 SQL = r"""
-WITH s AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH s AS (SELECT doc_id, text, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 p AS (SELECT source, count(*) AS n, CAST(sum(size) AS BIGINT) AS source_size, CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS w FROM s GROUP BY source),
 q AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total,
   CAST(sum(3 * source_size) OVER (ORDER BY source_size / CAST(w AS DOUBLE), source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - 3 * source_size AS before,
@@ -91,11 +93,8 @@ q AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total,
   row_number() OVER (ORDER BY source_size / CAST(w AS DOUBLE), source NULLS LAST) AS pos FROM p),
 f AS (SELECT pos AS fat, before AS fbefore, after AS fafter FROM q WHERE (total - before) * w <= 3 * source_size * after ORDER BY pos LIMIT 1),
 t AS (SELECT source, n, source_size, CASE WHEN pos < fat THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(w * (total - fbefore) AS DOUBLE) / CAST(fafter AS DOUBLE) END AS target FROM q, f),
-j AS (SELECT s.doc_id, s.size, t.source, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0.0 END AS rate,
-  CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS h, CAST(ceil(t.n / 8192.0) AS BIGINT) AS salts
-  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source),
-k AS (SELECT *, row_number() OVER (PARTITION BY source, h % salts ORDER BY size, h, doc_id) * CAST(0.618033988749895 AS DOUBLE)
-  + CAST('0x' || substr(md5('mix:' || coalesce(source, '') || ':' || (h % salts)), 1, 12) AS BIGINT) / CAST(281474976710656 AS DOUBLE) AS x FROM j),
-u AS (SELECT *, x - floor(x) AS u FROM k)
+u AS (SELECT s.doc_id, s.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0.0 END AS rate,
+  CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), 'text ' || md5(coalesce(text, '')))), 1, 12) AS BIGINT) / CAST(281474976710656 AS DOUBLE) AS u
+  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM u
 """
