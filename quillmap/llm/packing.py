@@ -2,7 +2,7 @@
 
 Every piece is a vector (tokens, one document, attention cost = tokens squared) and
 every sequence has a capacity in each dimension. Pieces are dealt evenly to shards by
-a hash; each shard packs its own, largest first, into the open sequence that the
+place; each shard packs its own, largest first, into the open sequence that the
 chosen rule prefers among those with room in every dimension; sequences left with
 much room are opened again and their pieces packed together in a later round.
 """
@@ -82,46 +82,62 @@ def best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rul
     return bins, offsets
 
 
-def _packer(capacity, weights, rule: str):
+def _packer(capacity, weights, rule: str, turn: int):
     capacity, weights = np.array(capacity, float), np.array(weights, float)
 
     def run(pdf):
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
         bins, offsets = best_fit(pdf["length"].to_numpy(np.int64), capacity, weights, rule)
-        pdf["sequence_id"] = pdf["shard"].to_numpy(np.int64) * 2**32 + bins
+        if len(bins) and bins.max() >= 1 << BIN_BITS:
+            raise ValueError(f"a shard has more than {1 << BIN_BITS} sequences: fewer shard_pieces are needed")
+        pdf["sequence_id"] = sequence_number(turn, pdf["__shard"].to_numpy(np.int64), bins)
         pdf["offset"] = offsets
-        pdf["filled"] = np.bincount(bins, pdf["length"])[bins].astype(np.int64) if len(pdf) else 0
+        pdf["__filled"] = np.bincount(bins, pdf["length"])[bins].astype(np.int64) if len(pdf) else 0
         return pdf
 
     return run
 
 
+#: A sequence's number has the round in its two highest bits, then the shard, then so many bits for the shard's sequences.
+BIN_BITS = 21
+
+
+def sequence_number(turn: int, shard, bins):
+    """Different for different (round, shard, sequence of it): 4 rounds, 2**40 shards."""
+    return (turn << 61) + (shard << BIN_BITS) + bins
+
+
 def pack(pieces: DataFrame, max_tokens: int = 4096, max_documents: int | None = None, max_attention: int | None = None, weights=(1.0, 1e-3, 1e-3), rule: str = "norm", shard_pieces: int = 4096, full: float = 0.98, rounds: int = 2) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length.
 
     A piece has 1 to max_tokens tokens. Without max_documents and max_attention those
-    dimensions hold what max_tokens allows at most. shard_pieces bounds a task's
-    memory; each further round takes the sequences filled below `full` apart and packs
-    their pieces, from all shards, anew. An empty table gives an empty result.
+    dimensions hold what max_tokens allows at most, so only the tokens bind. shard_pieces
+    bounds a task's memory; each of up to 4 rounds takes the sequences filled below `full`
+    apart and packs their pieces, from all shards, anew. Pieces are dealt to shards by
+    their place in the written table, so null ids and repeated rows spread like all
+    others. An empty table gives an empty result. Other columns stay.
     """
-    capacity = (max_tokens, max_documents or max_tokens, max_attention or max_tokens**2)
+    if not 1 <= rounds <= 4:
+        raise ValueError("rounds are 1 to 4")
+    capacity = (max_tokens, max_tokens if max_documents is None else max_documents, max_tokens**2 if max_attention is None else max_attention)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     out = [f.name for f in pieces.schema]
-    rest, done = pieces, None
+    rest, done = written(pieces, "pieces"), None
     for k in range(rounds):
         n = rest.count()
         if k and n == 0:
             break
         shards = max(1, -(-n // shard_pieces))
-        dealt = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(k)), F.lit(shards)) + F.lit(k * 2**20))
-        packed = written(dealt.groupBy("shard").applyInPandas(_packer(capacity, weights, rule), f"{schema}, shard long, sequence_id long, offset long, filled long"), "packed")
+        # a place in a written table is the same however often a task runs
+        dealt = rest.withColumn("__place", F.monotonically_increasing_id()).withColumn("__shard", F.pmod(F.xxhash64("__place", F.lit(k)), F.lit(shards))).drop("__place")
+        packed = written(dealt.groupBy("__shard").applyInPandas(_packer(capacity, weights, rule, k), f"{schema}, `__shard` long, sequence_id long, offset long, `__filled` long"), "packed")
         last = k == rounds - 1 or shards == 1
-        kept = packed if last else packed.filter(F.col("filled") >= int(full * max_tokens))
+        kept = packed if last else packed.filter(F.col("__filled") >= int(full * max_tokens))
         kept = kept.select(*out, "sequence_id", "offset")
         done = kept if done is None else done.unionByName(kept)
         if last:
             break
-        rest = packed.filter(F.col("filled") < int(full * max_tokens)).select(*out)
+        rest = packed.filter(F.col("__filled") < int(full * max_tokens)).select(*out)
     return done
 
 
@@ -136,4 +152,4 @@ def cut(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", max_tokens: int = 4096, **how) -> DataFrame:
     """cut() and pack(): doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(written(cut(docs, tokenizer, max_tokens=max_tokens), "pieces"), max_tokens, **how)
+    return pack(cut(docs, tokenizer, max_tokens=max_tokens), max_tokens, **how)
