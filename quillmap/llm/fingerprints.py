@@ -2,10 +2,10 @@
 
 A gear hash over the UTF-8 bytes proposes boundaries; normalised chunking takes a
 strict mask before the normal size and a loose one after it, between a least and a
-most size. The first bytes of a text have a normal size of their own, a small one, so
-that short texts have several chunks too. A fingerprint is the set of its chunks' digests with their lengths, so an
-insertion or a cut changes the chunks around it only, and likeness is the share of a
-document's distinct chunk bytes that the other document has too.
+most size. The masks look at bits that only the last 10 bytes reach, and no rule knows
+a byte's place in the text, so a text has the same chunks wherever it stands but for
+the first few. A fingerprint is the set of the chunks' digests with their lengths, and
+likeness is the share of a document's distinct chunk bytes that the other document has too.
 """
 
 from __future__ import annotations
@@ -18,49 +18,55 @@ from pyspark.sql import functions as F
 
 from quillmap.llm.fast_tokens import slices
 
-LEAST, NORMAL, MOST = 8, 32, 128
-#: Of the first EARLY bytes.
-EARLY, EARLY_LEAST, EARLY_NORMAL = 256, 3, 6
-#: The strict mask allows a boundary after 1 of 64 bytes, the loose one 1 of 16, the early one 1 of 4.
-STRICT, LOOSE, FIRST = np.uint32(0x3F << 26), np.uint32(0x0F << 26), np.uint32(0x03 << 26)
+#: Sizes of chunks in bytes; the normal size is small so that texts of a few lines have many.
+LEAST, NORMAL, MOST = 2, 12, 48
+#: The strict mask allows a boundary after 1 of 16 bytes, the loose one after 1 of 4.
+STRICT, LOOSE = np.uint32(0x0F << 6), np.uint32(0x03 << 8)
+#: Bytes that reach the masks' bits, and bytes that are worked on at a time.
+REACH, WINDOW = 10, 1_000_000
 _GEAR = np.array([int.from_bytes(hashlib.md5(bytes([b])).digest()[:4], "big") for b in range(256)], np.uint32)
+_CODE = np.array([int.from_bytes(hashlib.md5(bytes([b])).digest()[4:12], "big") for b in range(256)], np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+#: Numbers of six bits as letters.
+_LETTERS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz~", np.uint8)
+#: A chunk's digest has 42 bits, seven letters; an eighth is its length.
+_SHIFTS = np.arange(36, -1, -6, dtype=np.uint64)
 
 
-def _candidates(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per text the places after which a boundary is allowed, and by which mask: 2 strict, 1 loose, 0 early.
+def _places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in the bytes after which a boundary is allowed, and whether the strict mask allows it too.
 
-    The 32-bit gear hash h = 2h + gear[byte] only knows the last 32 bytes, so it is a
-    sum over shifted arrays, made by doubling; 32 silent bytes keep texts apart.
+    The gear hash h = 2h + gear[byte] is a sum over shifted arrays, made by doubling.
     """
-    n = sum(map(len, texts)) + 32 * len(texts)
-    g = np.zeros(n, np.uint32)
-    flat, starts, at = np.frombuffer(b"".join(texts), np.uint8), [], 0
-    codes, done = _GEAR[flat], 0
-    early = np.zeros(n, bool)
-    for t in texts:
-        g[at : at + len(t)] = codes[done : done + len(t)]
-        starts.append(at)
-        early[at : at + min(len(t), EARLY)] = True
-        done, at = done + len(t), at + len(t) + 32
-    for k in (1, 2, 4, 8, 16):
-        more = g[:-k] << np.uint32(k)
-        g[k:] += more
-    hits = np.flatnonzero(((g & LOOSE) == 0) | early & ((g & FIRST) == 0))
-    strict = ((g[hits] & LOOSE) == 0).astype(np.int8) + ((g[hits] & STRICT) == 0)
-    cuts = np.searchsorted(hits, [x for s, t in zip(starts, texts, strict=True) for x in (s, s + len(t))])
-    return [(hits[cuts[2 * i] : cuts[2 * i + 1]] - starts[i] + 1, strict[cuts[2 * i] : cuts[2 * i + 1]]) for i in range(len(texts))]
-
-
-def _chunks(n: int, places: np.ndarray, strict: np.ndarray) -> list[int]:
-    """Ends of the chunks of a text of n bytes."""
+    out, strict = [], []
+    for lo in range(0, len(data), WINDOW):
+        back = min(lo, REACH + 2)
+        h = _GEAR[data[lo - back : lo + WINDOW]]
+        for k in (1, 2, 4, 8):
+            more = h[:-k] << np.uint32(k)
+            h[k:] += more
+        h = h[back:]
+        hits = np.flatnonzero((h & LOOSE) == 0)
+        out.append(hits + lo + 1)
+        strict.append((h[hits] & STRICT) == 0)
+    return (np.concatenate(out), np.concatenate(strict)) if out else (np.zeros(0, np.int64), np.zeros(0, bool))
+
+
+def _ends(n: int, places: list[int], strict: list[bool]) -> list[int]:
+    """Ends of the chunks of n bytes."""
     ends, last = [], 0
-    for p, s in zip(places.tolist(), strict.tolist(), strict=True):
-        while p - last > MOST:
+    for p, s in zip(places, strict, strict=True):
+        size = p - last
+        if size < LEAST:
+            continue
+        while size > MOST:
             last += MOST
             ends.append(last)
-        size = p - last
-        if size >= EARLY_LEAST and (size >= EARLY_NORMAL or s) if p <= EARLY else size >= NORMAL and s or s == 2 and size >= LEAST:
-            ends.append(last := p)
+            size = p - last
+        if size >= NORMAL or s and size >= LEAST:
+            ends.append(p)
+            last = p
     while n - last > MOST:
         last += MOST
         ends.append(last)
@@ -69,34 +75,67 @@ def _chunks(n: int, places: np.ndarray, strict: np.ndarray) -> list[int]:
     return ends
 
 
-def chunk_sets(texts: list[bytes]) -> list[dict[int, int]]:
-    """Per text its distinct chunks: 40-bit digest to length in bytes."""
-    import xxhash
-
-    digest, out = xxhash.xxh3_64_intdigest, []
-    for t, (places, strict) in zip(texts, _candidates(texts), strict=True):
-        own, lo = {}, 0
-        for hi in _chunks(len(t), places, strict):
-            own[digest(t[lo:hi]) >> 24] = hi - lo
-            lo = hi
-        out.append(own)
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """42-bit digests of slices of the bytes, by a polynomial over the bytes' codes; starts ascend."""
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + WINDOW, "right")))
+        lo, n = int(starts[i]), int(ends[j - 1] - starts[i])
+        falling = np.cumprod(np.full(n, _INVERSE))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_CODE[data[lo : lo + n]] * falling)])
+        rising = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, _BASE))])
+        a, b = starts[i:j] - lo, ends[i:j] - lo
+        out[i:j] = (sums[b] - sums[a]) * rising[b]
+        i = j
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out >> np.uint64(22)
+
+
+def chunk_sets(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text its distinct chunks: ascending digests, and their lengths in bytes; of an empty text none."""
+    gap = bytes(REACH + 2)  # before every text, so that texts do not see each other; its places are passed over
+    data = np.frombuffer(b"".join(x for t in texts for x in (gap, t)), np.uint8)
+    places, strict = _places(data)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    first = (np.cumsum(sizes + len(gap)) - sizes).astype(np.int64)
+    lo, hi = np.searchsorted(places, first, "right"), np.searchsorted(places, first + sizes, "right")
+    ends, counts = [], []
+    for k in range(len(texts)):
+        own = _ends(int(sizes[k]), (places[lo[k] : hi[k]] - first[k]).tolist(), strict[lo[k] : hi[k]].tolist())
+        ends.append(np.array(own, np.int64) + first[k])
+        counts.append(len(own))
+    cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    last = np.concatenate(ends) if ends else np.zeros(0, np.int64)
+    begin = np.concatenate([np.zeros(1, np.int64), last[:-1]]) if len(last) else last
+    begin[cuts[:-1][np.array(counts, np.int64) > 0]] = first[np.array(counts, np.int64) > 0]
+    digests, lengths = _digests(data, begin, last), last - begin
+    out = []
+    for k in range(len(texts)):
+        d, at = np.unique(digests[cuts[k] : cuts[k + 1]], return_index=True)
+        out.append((d, lengths[cuts[k] + at]))
     return out
 
 
-def encode(chunks: dict[int, int]) -> str:
-    """12 hex digits a chunk, ascending: digest and length; the same for equal texts."""
-    return "".join(f"{d:010x}{n:02x}" for d, n in sorted(chunks.items()))
+def encode(chunks: tuple[np.ndarray, np.ndarray]) -> str:
+    """Eight letters a chunk, ascending: digest and length; the same for equal texts."""
+    digests, lengths = chunks
+    parts = (digests[:, None] >> _SHIFTS) & np.uint64(63)
+    return _LETTERS[np.concatenate([parts, lengths[:, None].astype(np.uint64)], 1).astype(np.intp)].tobytes().decode("ascii")
 
 
-def decode(fingerprint: str) -> dict[int, int]:
-    return {int(fingerprint[i : i + 10], 16): int(fingerprint[i + 10 : i + 12], 16) for i in range(0, len(fingerprint), 12)}
+def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    value = np.zeros(256, np.uint64)
+    value[_LETTERS] = np.arange(64)
+    parts = value[np.frombuffer(fingerprint.encode("ascii"), np.uint8)].reshape(-1, 8)
+    return (parts[:, :7] << _SHIFTS).sum(1, dtype=np.uint64), parts[:, 7].astype(np.int64)
 
 
-def containment(a: dict[int, int], b: dict[int, int]) -> float:
+def containment(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Share of a's chunk bytes that b has; two empty texts are alike, an empty and another one are not."""
-    if not a:
-        return float(not b)
-    return sum(n for d, n in a.items() if d in b) / sum(a.values())
+    if not len(a[0]):
+        return float(not len(b[0]))
+    return float(a[1][np.isin(a[0], b[0], assume_unique=True)].sum() / a[1].sum())
 
 
 def _compress(batches):

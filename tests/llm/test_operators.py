@@ -84,15 +84,25 @@ def plain_dedup(n=13):
 
 
 def test_fingerprints(docs, none):
+    import hashlib
+
+    from tests.llm.test_units import plain_chunks, plain_containment
+
     rows = fingerprints.fingerprint_documents(docs, 3).collect()
     assert len(rows) == len(ROWS)
     by = {r["doc_id"]: r for r in rows}
     assert by[1]["fingerprint"] == by[2]["fingerprint"] and by[1]["near_next"] == 1.0
-    import hashlib
-
-    text = {r[0]: r[1] or "" for r in ROWS}
-    k = len(text[2]) // 4
-    assert by[2]["edited_sha256"] == hashlib.sha256((text[2][: len(text[2]) - k] + text[3][:k]).encode()).hexdigest()
+    order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))  # without an id first; of one id both are alike
+    want = []
+    for k, r in enumerate(order):
+        text, nxt = r[1] or "", order[(k + 1) % len(order)][1] or ""
+        n = len(text) // 4
+        edited = text[: len(text) - n] + nxt[:n]
+        own, other, following = (plain_chunks(t.encode()) for t in (text, edited, nxt))
+        want.append((r[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), round(plain_containment(own, other), 12), round(plain_containment(own, following), 12)))
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    got = [(r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 12), round(r["near_next"], 12)) for r in rows]
+    assert sorted(got, key=key) == sorted(want, key=key)
     assert fingerprints.fingerprint_documents(none).count() == 0
 
 

@@ -47,13 +47,60 @@ def test_fm_index_is_a_plain_search():
         assert lo == (min(hit(most)) if want == most else np.iinfo(np.int64).max)
 
 
-def test_chunks_cover_and_shift():
+def plain_chunks(data):
+    """The distinct chunks, byte by byte: digest-free."""
+    out, lo, h = {}, 0, 0
+    for _ in range(fingerprints.REACH + 2):
+        h = (2 * h + int(fingerprints._GEAR[0])) % 2**32  # as if after some zeros
+    for p in range(len(data)):
+        h = (2 * h + int(fingerprints._GEAR[data[p]])) % 2**32
+        size = p + 1 - lo
+        cut = size >= fingerprints.NORMAL and h & int(fingerprints.LOOSE) == 0 or size >= fingerprints.LEAST and h & int(fingerprints.STRICT) == 0
+        if cut or size == fingerprints.MOST or p + 1 == len(data):
+            out[data[lo : p + 1]] = size
+            lo = p + 1
+    return out
+
+
+def plain_containment(a, b):
+    return sum(n for c, n in a.items() if c in b) / sum(a.values()) if a else float(not b)
+
+
+def test_chunks_are_the_plain_ones(monkeypatch):
     rng = random.Random(3)
-    text = "".join(rng.choice("abcdefgh ij\n") for _ in range(5000)).encode()
-    a, b, c, e = fingerprints.chunk_sets([text, b"xy" + text, text[:3000], b""])
-    assert fingerprints.decode(fingerprints.encode(a)) == a and e == {}
-    assert fingerprints.containment(a, b) > 0.85 and fingerprints.containment(c, a) > 0.9
-    assert fingerprints.containment(e, e) == 1.0 and fingerprints.containment(e, a) == 0.0
+    texts = ["".join(rng.choice("abcdefgh ij\né日") for _ in range(n)).encode() for n in (0, 1, 3, 4, 5, 13, 47, 48, 49, 100, 700, 3000, 9000)] + [b"a" * 500, b"", b"ab" * 300]
+    texts += [texts[-5][:2000], texts[-5][1000:4000]]
+
+    def check():
+        sets, plain = fingerprints.chunk_sets(texts), [plain_chunks(t) for t in texts]
+        for s, p in zip(sets, plain, strict=True):
+            assert sorted(s[1].tolist()) == sorted(p.values())
+            again = fingerprints.decode(fingerprints.encode(s))
+            assert again[0].tolist() == s[0].tolist() and again[1].tolist() == s[1].tolist()
+        for i in range(len(texts)):
+            for j in range(len(texts)):
+                assert abs(fingerprints.containment(sets[i], sets[j]) - plain_containment(plain[i], plain[j])) < 1e-12
+        return [fingerprints.encode(s) for s in sets]
+
+    whole = check()
+    monkeypatch.setattr(fingerprints, "WINDOW", 100)  # in pieces the same
+    assert check() == whole
+
+
+def test_chunks_do_not_know_their_place():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n)).encode()
+    for size, mean, least in ((250, 0.87, 0.75), (600, 0.94, 0.88), (3000, 0.98, 0.97)):
+        got = []
+        for k in range(60):
+            own = prose(600)[:size]
+            host = prose(400)[: rng.randrange(2000)] + own + prose(50 + k)
+            a, b = fingerprints.chunk_sets([own, host])
+            got.append(fingerprints.containment(a, b))
+        assert sum(got) / len(got) >= mean and min(got) >= least, (size, sum(got) / len(got), min(got))
+    a, b = fingerprints.chunk_sets([prose(400), prose(400)])
+    assert fingerprints.containment(a, b) < 0.3
 
 
 def test_similar_pairs_both_ways_are_plain():
