@@ -7,13 +7,14 @@ token with probability of their Jaccard similarity), and sets with the same toke
 on together. Small buckets are compared by brute force on the sketches. In a large
 bucket all sets are compared to one member, the pivot; those near it are linked to it,
 and those very near it go no further, for by the triangle inequality of the Jaccard
-distance whatever is similar to them is near the pivot as well. The rest is split on;
-buckets that are large on the last level are linked to one member. Runs repeat
-until a pair at the threshold is met with the target probability.
+distance whatever is similar to them is near the pivot as well. The rest is split on
+until no bucket is large; each level takes a pivot and all that is very near it from
+each bucket, so this ends. Runs repeat until a pair at the threshold is met with the
+target probability.
 
 Buckets only propose: proposed components are then compared exactly, all pairs within
-a component, in blocks of bounded size; a block returns counts and a spanning forest,
-never its pairs.
+a component whose sizes allow the similarity, in blocks of bounded size; a block
+returns counts and a spanning forest, never its pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import math
 import random
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmap.llm.common import cache, released, written
@@ -33,7 +34,8 @@ from quillmap.llm.graph import components
 COORDINATES = 64
 #: Most sets in a bucket that is compared by brute force.
 SMALL = 64
-LEVELS = 4
+#: Levels through which runs_for() counts a pair's way; buckets are split as long as they are large.
+DEPTH = 6
 #: A block of the exact comparison holds so many sets and shingles on average, at most.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -88,10 +90,10 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 def runs_for(threshold: float, recall: float) -> int:
-    """Runs after which a pair at the threshold has met with the probability, through all levels."""
+    """Runs after which a pair at the threshold has met with the probability, DEPTH levels down."""
     more = 1 / threshold - 1  # probability of a second branch
     met = 1.0
-    for _ in range(LEVELS):
+    for _ in range(DEPTH):
         met = (1 - more) * threshold * met + more * (1 - (1 - threshold * met) ** 2)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
@@ -108,11 +110,24 @@ def _sets(k: int):
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sizes.append(len(s))
                 sketches.append(sketch(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())], ["doc_id", "row", "set_key", "n", "sketch"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "row", "tx")), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())], ["doc_id", "row", "tx", "set_key", "n", "sketch"])
 
     return run
 
 
+_SIGN = -(2**63)
+
+
+def set_number(row: Column, set_key: Column) -> Column:
+    """16 bytes that tell sets apart and order them by their least row: the row, then half of the set's digest."""
+    return F.concat(F.unhex(F.lpad(F.hex(row.bitwiseXOR(F.lit(_SIGN))), 16, "0")), F.substring(set_key, 1, 8))
+
+
+def row_of(number: Column) -> Column:
+    """The row in a set's number."""
+    return F.conv(F.hex(F.substring(number, 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
+
+
 def _groups(batches, columns):
     """(key, rows) of runs of equal keys, across batches; key: the first column."""
     key, held = None, []
@@ -160,10 +175,10 @@ def _brute(similar: float):
             if len(i):
                 out += [(ids[a], ids[r]) for a, r in enumerate(_roots(len(ids), zip(i.tolist(), j.tolist(), strict=True))) if a != r]
             if len(out) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
 
     return run
 
@@ -175,10 +190,9 @@ def _pivots(near: float, same: float):
         import pyarrow as pa
 
         for b in batches:
-            sids, pivots = (b.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "pivot"))
-            own, other = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(len(sids), -1) for c in ("sketch", "pivot_sketch"))
-            alike = (own == other).mean(1)
-            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("sid"), b.column("sketch"), b.column("pivot"), pa.array((alike >= near) & (sids != pivots)), pa.array((alike < same) & (sids != pivots))], ["path", "sid", "sketch", "pivot", "linked", "stays"])
+            own, other = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, -1) for c in ("sketch", "pivot_sketch"))
+            alike, others = (own == other).mean(1), pa.compute.not_equal(b.column("sid"), b.column("pivot")).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("sid"), b.column("sketch"), b.column("pivot"), pa.array((alike >= near) & others), pa.array((alike < same) & others)], ["path", "sid", "sketch", "pivot", "linked", "stays"])
 
     return run
 
@@ -196,20 +210,19 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
 
     starts = F.array(*(F.xxhash64(F.lit(r), F.lit(c), token(F.lit(c))) for r, c in first))
     rows = sets.select("sid", "sketch", F.explode(starts).alias("path"))
-    edges = None
-    for level in range(1, LEVELS + 1):
+    edges, level = None, 0
+    while True:
+        level += 1
         heavy = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > small).select("path"), "heavy")
         light = rows.join(heavy, "path", "left_anti")
-        found = written(light.repartition("path").sortWithinPartitions("path").select("path", "sid", "sketch").mapInArrow(released(_brute(max(0.0, threshold - 0.2))), "a long, b long"), "proposed")
+        found = written(light.repartition("path").sortWithinPartitions("path").select("path", "sid", "sketch").mapInArrow(released(_brute(max(0.0, threshold - 0.2))), "a binary, b binary"), "proposed")
         edges = found if edges is None else edges.unionByName(found)
         if heavy.isEmpty():
             return edges
         inside = written(rows.join(heavy, "path", "left_semi"), "large")
-        if level == LEVELS:
-            break
         pivots = inside.groupBy("path").agg(F.min(F.struct("sid", "sketch")).alias("p")).select("path", F.col("p.sid").alias("pivot"), F.col("p.sketch").alias("pivot_sketch"))
         met = inside.join(pivots, "path").select("path", "sid", "sketch", "pivot", "pivot_sketch")
-        judged = written(met.mapInArrow(released(_pivots(max(0.0, 2 * threshold - 1 - 0.1), threshold + 0.05)), "path long, sid long, sketch binary, pivot long, linked boolean, stays boolean"), "judged")
+        judged = written(met.mapInArrow(released(_pivots(max(0.0, 2 * threshold - 1 - 0.1), threshold + 0.05)), "path long, sid binary, sketch binary, pivot binary, linked boolean, stays boolean"), "judged")
         edges = edges.unionByName(judged.filter("linked").select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
         large = judged.filter("stays").select("path", "sid", "sketch")
         # the node samples its next coordinates by its own path: one, and by chance a second
@@ -218,8 +231,6 @@ def proposals(sets: DataFrame, threshold: float, recall: float, small: int = SMA
         step = lambda c: F.xxhash64("path", c, token(c))
         # written, as the next level reads them for sizes, small buckets and large ones
         rows = written(large.select("sid", "sketch", F.explode(F.filter(F.array(step(at(0)), F.when(second & (at(0) != at(1)), step(at(1)))), lambda x: x.isNotNull())).alias("path")), "split")
-    hubs = inside.groupBy("path").agg(F.min("sid").alias("b"))
-    return edges.unionByName(inside.select("path", F.col("sid").alias("a")).join(hubs, "path").select("a", "b").filter("a <> b"))
 
 
 def similar_pairs(sets: list[np.ndarray], threshold: float, left: int | None = None) -> list[tuple[int, int]]:
@@ -273,7 +284,7 @@ def _shingle_rows(k: int):
 
 
 def _exact(threshold: float):
-    """Per set of a block pair its links and its root in the block's spanning forest."""
+    """Per set of a cell its links and its root in the cell's spanning forest; a cell: one block, or two that meet."""
 
     def run(batches):
         import pyarrow as pa
@@ -281,57 +292,94 @@ def _exact(threshold: float):
         for key, rows in _groups(batches, ["cell", "sid", "block", "weight", "shingles"]):
             rows = sorted({r[1]: r for r in rows}.values(), key=lambda r: (r[2], r[1]))
             own = [np.frombuffer(r[4], np.uint64) for r in rows]
-            p, q = (int(x) for x in key.split(":")[1:])
-            left = None if p == q else sum(r[2] == p for r in rows)
-            pairs = similar_pairs(own, threshold, left) if left is None or 0 < left < len(rows) else []
+            p, q = key.split("|")[1:]
+            left = None if p == q else sum(r[2] == rows[0][2] for r in rows)
+            pairs = similar_pairs(own, threshold, left) if left is None or left < len(rows) else []
             links = [0] * len(rows)
             for i, j in pairs:
                 links[i] += rows[j][3]
                 links[j] += rows[i][3]
             roots = _roots(len(rows), pairs)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([r[1] for r in rows], links, [rows[r][1] for r in roots])], ["sid", "links", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.binary()), pa.array(links, pa.int64()), pa.array([rows[r][1] for r in roots], pa.binary())], ["sid", "links", "root"])
 
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of docs: doc_id, class_id, n_links, n_shingles, class_first.
+def cells(members: DataFrame, threshold: float, sets: int | None = None, shingle_bound: int | None = None) -> DataFrame:
+    """members (sid, component, n and more), block and cell: a row for each cell that a set is compared in.
 
-    Two documents are linked if their sets of k-word shingles have Jaccard similarity
-    of at least the threshold; copies are linked too, and repeated rows are documents of
-    their own. n_links counts a document's links, class_id is the least id in its
-    component of links (of rows without an id, a negative number made of the text).
-    class_first marks the row that stands for the class: exactly one id of each class.
-    A text of fewer than k words is one shingle of all its words. Null texts and texts
-    without words have no shingles and no links, and are each their own class. An empty
-    table gives an empty result; other columns are ignored.
+    A component within the bounds is one block and one cell. A larger one is split by the
+    logarithm of the sets' sizes, in steps so wide that similar sets are in one class or in
+    two next to each other, and each class into blocks of bounded size; a block meets the
+    blocks of its class and of the two beside it.
     """
-    row = F.coalesce(F.col(id_col).cast("long"), -F.abs(F.xxhash64(text_col)) - 1)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).alias("text"))
-    own = written(rows.mapInArrow(released(_sets(k)), "doc_id long, row long, set_key binary, n int, sketch binary"), "sets")
-    sets = written(own.filter(F.col("set_key").isNotNull()).groupBy("set_key", "n", "sketch").agg(F.min("row").alias("sid"), F.count(F.lit(1)).alias("weight")), "distinct-sets")
-    candidates = components(proposals(sets.select("sid", "sketch"), threshold, recall))
-    candidates = candidates.join(sets.select(F.col("sid").alias("node"), "set_key", "n", "weight"), "node")
-    blocks = candidates.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = written(candidates.join(blocks, "component").select(F.col("node").alias("sid"), "component", "set_key", "weight", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "members")
-    packed = rows.select(F.col("row").alias("sid"), "text").mapInArrow(released(pack_texts), "sid long, packed binary")
+    sets, shingle_bound = sets or BLOCK_SETS, shingle_bound or BLOCK_SHINGLES
+    needed = F.greatest(F.ceil(F.count(F.lit(1)) / sets), F.ceil(F.sum("n") / shingle_bound)).cast("int")
+    whole = members.groupBy("component").agg((needed == 1).alias("__one"))
+    size = F.when(F.col("__one"), 0).otherwise(F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(threshold) * 1.0001 if threshold < 1 else 1.0))).cast("int")
+    classed = members.join(whole, "component").withColumn("__class", size).drop("__one")
+    # a component has as many classes as its sizes have steps: a short map
+    per = classed.groupBy("component", "__class").agg(needed.alias("blocks")).groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("__class", "blocks"))).alias("__blocks"))
+    own, blocks = F.col("__class"), F.col("__blocks")
+    placed = classed.join(per, "component").withColumn("__at", F.pmod(F.xxhash64("sid"), F.element_at(blocks, own)).cast("int"))
+    name = lambda c, k: F.concat_ws(".", F.lpad(c.cast("string"), 6, "0"), F.lpad(k.cast("string"), 9, "0"))
+    block = name(own, F.col("__at"))
+    meet = lambda c: F.transform(F.when(F.element_at(blocks, c).isNotNull(), F.sequence(F.lit(0), F.element_at(blocks, c) - 1)).otherwise(F.array().cast("array<int>")), lambda k: name(c, k))
+    others = F.concat(meet(own - 1), meet(own), meet(own + 1))
+    cell = lambda o: F.concat_ws("|", F.hex("component"), F.least(block, o), F.greatest(block, o))
+    return placed.withColumn("block", block).withColumn("cells", F.transform(others, cell)).drop("__class", "__blocks", "__at")
+
+
+def _classes(docs: DataFrame, k: int, threshold: float, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates() with row and tx, by which a row of docs is found again."""
+    row, tx = row_keys(F.col(id_col), F.col(text_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), tx.alias("tx"), F.col(text_col).alias("text"))
+    own = written(rows.mapInArrow(released(_sets(k)), "doc_id long, row long, tx long, set_key binary, n int, sketch binary"), "sets")
+    grouped = own.filter(F.col("set_key").isNotNull()).groupBy("set_key", "n", "sketch").agg(F.min(F.struct("row", "tx")).alias("first"), F.count(F.lit(1)).alias("weight"))
+    sets = written(grouped.withColumn("sid", set_number(F.col("first.row"), F.col("set_key"))), "distinct-sets")
+    candidates = written(components(proposals(sets.select("sid", "sketch"), threshold, recall)), "candidates")
+    known = candidates.join(sets.select(F.col("sid").alias("node"), "set_key", "n", "weight", "first"), "node").withColumnRenamed("node", "sid")
+    members = written(cells(known, threshold).withColumn("row", F.col("first.row")).drop("first", "n"), "members")
+    packed = rows.select("row", "text").mapInArrow(released(pack_texts), "row long, packed binary")
     # a merge join at every size, so that what holds for small inputs holds for large ones
-    texts = packed.join(members.hint("merge"), "sid").select("sid", "component", "set_key", "weight", "blocks", "block", "packed")
-    shingled = texts.mapInArrow(released(_shingle_rows(k)), "sid long, component long, weight long, blocks int, block int, shingles binary")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.concat_ws(":", F.col("component").cast("string"), F.least("block", o).cast("string"), F.greatest("block", o).cast("string")))
-    dealt = shingled.select("sid", "block", "weight", "shingles", F.explode(pairs).alias("cell")).repartition("cell").sortWithinPartitions("cell")
-    linked = written(dealt.select("cell", "sid", "block", "weight", "shingles").mapInArrow(released(_exact(threshold)), "sid long, links long, root long"), "linked")
+    texts = packed.join(members.hint("merge"), "row").select("sid", "set_key", "weight", "block", "cells", "packed")
+    shingled = texts.mapInArrow(released(_shingle_rows(k)), "sid binary, weight long, block string, cells array<string>, shingles binary")
+    dealt = shingled.select("sid", "block", "weight", "shingles", F.explode("cells").alias("cell")).repartition("cell").sortWithinPartitions("cell")
+    linked = written(dealt.select("cell", "sid", "block", "weight", "shingles").mapInArrow(released(_exact(threshold)), "sid binary, links long, root binary"), "linked")
     classes = components(linked.select(F.col("sid").alias("a"), F.col("root").alias("b")))
     links = linked.groupBy("sid").agg(F.sum("links").alias("links"))
-    result = sets.join(links, "sid", "left").join(classes.withColumnRenamed("node", "sid"), "sid", "left").select("set_key", F.coalesce("component", "sid").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    out = own.select("doc_id", "row", "set_key", "n").join(written(result, "classes"), "set_key", "left")
-    class_id = F.coalesce("class_id", "row")
-    return out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").cast("long").alias("n_shingles"), (class_id == F.col("row")).alias("class_first"))
+    result = sets.join(links, "sid", "left").join(classes.withColumnRenamed("node", "sid"), "sid", "left").select("set_key", "first", F.coalesce("component", "sid").alias("class"), F.coalesce(F.col("component") == F.col("sid"), F.lit(True)).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    out = own.select("doc_id", "row", "tx", "set_key", "n").join(written(result, "classes"), "set_key", "left")
+    first = F.coalesce(F.col("leads") & (F.col("first") == F.struct("row", "tx")), F.lit(True))
+    return out.select("doc_id", "row", "tx", F.coalesce(row_of(F.col("class")), "row").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").cast("long").alias("n_shingles"), first.alias("class_first"))
+
+
+def row_keys(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """A row's number, its id or for want of one a negative number of its text, and a number of its text."""
+    tx = F.xxhash64(text)
+    return F.coalesce(doc_id.cast("long"), -tx.bitwiseAND(F.lit(2**63 - 1)) - 1), tx
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of docs: doc_id, class_id, n_links, n_shingles, class_first.
+
+    Two documents are linked if their sets of k-word shingles have Jaccard similarity
+    of at least the threshold; copies are linked too, and repeated rows, as well as rows
+    with one id and different texts, are documents of their own. n_links counts a
+    document's links, class_id is the least id in its component of links (of rows without
+    an id, a negative number made of the text). class_first marks the row that stands for
+    the class, and rows that repeat it. A text of fewer than k words is one shingle of all
+    its words. Null texts and texts without words have no shingles and no links, and are
+    each their own class. An empty table gives an empty result; other columns are ignored.
+    """
+    return _classes(docs, k, threshold, recall, id_col, text_col).drop("row", "tx")
 
 
-def keep_one(docs: DataFrame, **how) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
     """The rows of docs, all columns, that stand for their class; of repeated rows one."""
-    row = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text")) - 1)
-    stay = near_duplicates(docs.select("doc_id", "text"), **how).filter("class_first").select(F.col("class_id").alias("__row")).distinct()
-    kept = docs.withColumn("__row", row).join(stay, "__row", "left_semi").withColumn("__text", F.xxhash64("text"))
-    return kept.dropDuplicates(["__row", "__text"]).select(*docs.columns)
+    row, tx = row_keys(F.col("doc_id"), F.col("text"))
+    stay = written(_classes(docs.select("doc_id", "text"), k, threshold, recall, "doc_id", "text").filter("class_first").groupBy(F.col("row").alias("__row"), F.col("tx").alias("__tx")).agg(F.count(F.lit(1)).alias("__n")), "stay")
+    kept = docs.withColumn("__row", row).withColumn("__tx", tx).join(stay, ["__row", "__tx"])
+    if stay.filter("__n > 1").isEmpty():
+        return kept.select(*docs.columns)
+    return kept.filter("__n = 1").unionByName(kept.filter("__n > 1").dropDuplicates(["__row", "__tx"])).select(*docs.columns)

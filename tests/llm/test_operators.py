@@ -116,6 +116,111 @@ def test_near_duplicates(docs, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def plain_links(rows, k=5, threshold=0.8):
+    """Per row its links and the rows of its class, pair by pair."""
+    sets = []
+    for r in rows:
+        w = words(r[1])
+        sets.append({tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set())
+    at, links, root = {}, [set() for _ in rows], list(range(len(rows)))
+    for i, own in enumerate(sets):
+        for x in own:
+            at.setdefault(x, []).append(i)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, own in enumerate(sets):
+        for j in {j for x in own for j in at[x] if j < i}:
+            both = len(own & sets[j])
+            if both >= threshold * (len(own) + len(sets[j]) - both) - 1e-9:
+                links[i].add(j)
+                links[j].add(i)
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return sets, links, [find(i) for i in range(len(rows))]
+
+
+def test_one_id_with_two_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (3, b + " tail"), (4, b + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["class_id"], r["n_links"]) for r in jaccard_join.near_duplicates(docs).collect())
+    assert got == [(1, 56, 1, 1), (1, 56, 1, 3), (2, 57, 1, 1), (3, 57, 1, 3), (3, 57, 1, 3), (4, 57, 1, 3)]
+    assert sorted(r["text"] for r in jaccard_join.keep_one(docs).collect()) == [a, b]
+    same = spark.createDataFrame([(1, a), (1, a + " tail"), (1, a)], "doc_id long, text string")
+    assert jaccard_join.keep_one(same).count() == 1
+
+
+def near_copies(seed=8):
+    """Groups of texts of which words change here and there, so that similarities reach from low to 1."""
+    import random
+
+    rng = random.Random(seed)
+    rows, vocabulary = [], [f"v{i}" for i in range(4000)]
+    for g in range(90):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice((40, 120, 300)))]
+        for _ in range(rng.choice((2, 4, 9))):
+            own = list(base)
+            for _ in range(rng.randrange(0, 1 + len(own) // 24)):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(own + [rng.choice(vocabulary) for _ in range(rng.randrange(0, 1 + len(own) // 10))])))
+    shared = " ".join(rng.choice(vocabulary) for _ in range(80))
+    for _ in range(300):  # passages that many share, and little else: near each other, but no links
+        rows.append((len(rows), shared + " " + " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(25, 60)))))
+    return rows
+
+
+def test_links_and_classes_against_all_pairs(spark, monkeypatch):
+    rows = near_copies()
+    sets, links, roots = plain_links(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    # recall by similarity, over documents: links found of links there are
+    got = {r["doc_id"]: r for r in jaccard_join.near_duplicates(docs).collect()}
+    bands = {}
+    for i, own in enumerate(links):
+        for j in own:
+            s = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            band = bands.setdefault(min(int(s * 20), 19), [0, 0])
+            band[0] += 1
+            band[1] += got[i]["class_id"] == got[j]["class_id"]
+    assert len(bands) >= 4 and all(hit >= 0.98 * n for n, hit in bands.values()), bands
+    exact = sum(got[i]["n_links"] == len(links[i]) and got[i]["class_id"] == roots[i] for i in range(len(rows)))
+    assert exact >= 0.98 * len(rows) and not any(got[i]["n_links"] > len(links[i]) for i in range(len(rows)))
+    # the same when buckets and blocks are tiny, so that levels, classes of sizes and blocks all have work
+    for name, value in (("SMALL", 6), ("BLOCK_SETS", 20), ("BLOCK_SHINGLES", 3000)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    monkeypatch.setattr(jaccard_join.proposals, "__defaults__", (6, 1))
+    tiny = {r["doc_id"]: r for r in jaccard_join.near_duplicates(docs).collect()}
+    same = sum((tiny[i]["n_links"], tiny[i]["class_id"]) == (len(links[i]), roots[i]) for i in range(len(rows)))
+    assert same >= 0.97 * len(rows) and not any(tiny[i]["n_links"] > len(links[i]) for i in range(len(rows)))
+
+
+def test_components_are_plain_ones(spark):
+    import random
+
+    from quillmap.llm.graph import components
+
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(400 + i, 401 + i) for i in range(70)] + [(5, 5)]
+    root = {}
+
+    def find(i):
+        root.setdefault(i, i)
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for e in edges for i in e if e[0] != e[1]}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_pii(docs, none):
     rows = pii.with_surrogates(docs, count_col="n").collect()
     by = {r["doc_id"]: r for r in rows}
