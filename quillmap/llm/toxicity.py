@@ -48,8 +48,8 @@ def features(text: str) -> np.ndarray:
     return np.concatenate(parts) >> np.uint64(64 - BITS)
 
 
-def train(texts, labels, epochs: int = 5, alpha: float = 0.5, beta: float = 1.0, l1: float = 8.0, l2: float = 0.0, positive: float = 1.0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """(indices, weights) that are not 0; index 2**BITS is the intercept. texts: a callable by position; positive: how much a toxic row counts."""
+def train(features_of, labels, epochs: int = 5, alpha: float = 0.5, beta: float = 1.0, l1: float = 8.0, l2: float = 0.0, positive: float = 1.0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """(indices, weights) that are not 0; index 2**BITS is the intercept. features_of: a callable, by position the hashed features; positive: how much a toxic row counts."""
     n_features = 2**BITS + 1
     z, n = np.zeros(n_features), np.zeros(n_features)
     y, rng = np.asarray(labels, float), np.random.default_rng(seed)
@@ -59,7 +59,7 @@ def train(texts, labels, epochs: int = 5, alpha: float = 0.5, beta: float = 1.0,
         for i in rng.permutation(len(y)):
             f = seen.get(i)
             if f is None:
-                f = np.append(np.unique(features(texts(i))), 2**BITS).astype(np.int32)
+                f = np.append(np.unique(features_of(i)), 2**BITS).astype(np.int32)
                 if held + len(f) <= HELD:
                     seen[i], held = f, held + len(f)
             zf, nf = z[f], n[f]
@@ -77,14 +77,30 @@ def train(texts, labels, epochs: int = 5, alpha: float = 0.5, beta: float = 1.0,
     return at, -(z[at] - np.sign(z[at]) * penalty[at]) / ((beta + np.sqrt(n[at])) / alpha + l2)
 
 
-def _trainer(pdf):
-    import pandas as pd
+def _hashed(batches):
+    """Labelled texts as their distinct features, compressed: what the trainer needs, and no more."""
+    import pyarrow as pa
+    import zstandard
 
-    pdf = pdf.sort_values(["order", "doc_id"], kind="stable", ignore_index=True)
-    texts = pdf["text"]
-    at, w = train(lambda i: texts.iloc[i] or "", pdf["label"])
-    release()
-    return pd.DataFrame({"feature": at.astype(np.int64), "weight": w})
+    z = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        packed = [z.compress(np.unique(features(t or "")).astype("<u4").tobytes()) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "label", "order")] + [pa.array(packed, pa.binary())], ["doc_id", "label", "order", "packed"])
+
+
+def _trainer(most: int):
+    def run(pdf):
+        import pandas as pd
+        import zstandard
+
+        z = zstandard.ZstdDecompressor()
+        pdf = pdf.sort_values(["order", "doc_id", "packed"], kind="stable", ignore_index=True)[:most]
+        packed = pdf["packed"].tolist()
+        at, w = train(lambda i: np.frombuffer(z.decompress(packed[i]), "<u4"), pdf["label"])
+        release()
+        return pd.DataFrame({"feature": at.astype(np.int64), "weight": w})
+
+    return run
 
 
 def fold(doc_id):
@@ -108,17 +124,22 @@ class ToxicityModel:
         picked = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("double").alias("label"))
         picked = picked.filter(F.col("label").isNotNull() & F.col("__id").isNotNull() & (fold(F.col("__id")) != 0))
         picked = picked.withColumn("order", F.xxhash64("__id")).orderBy("order", "__id").limit(most)
-        rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label", "order")
-        found = rows.groupBy(F.lit(0).alias("all")).applyInPandas(lambda pdf: _trainer(pdf), "feature long, weight double").toPandas()
+        rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select(F.col("doc_id").cast("long").alias("doc_id"), "label", "order", "text")
+        hashed = rows.mapInArrow(released(_hashed), "doc_id long, label double, order long, packed binary")
+        # repeated rows of an id are rows of their own, so the bound is kept here once more, before one task gets them
+        hashed = hashed.orderBy("order", "doc_id", F.xxhash64("packed")).limit(most)
+        found = hashed.groupBy(F.lit(0).alias("all")).applyInPandas(_trainer(most), "feature long, weight double").toPandas()
         found = found.sort_values("feature")
         return cls(found["feature"].to_numpy(), found["weight"].to_numpy())
 
-    def scorer(self):
-        at, weights = self.at, self.weights
+    def scorer(self, spark):
+        """Scores Arrow batches; the weights reach each executor once, as a broadcast of at most 16 bytes for each feature."""
+        sent = spark.sparkContext.broadcast((self.at, self.weights))
 
         def run(batches):
             import pyarrow as pa
 
+            at, weights = sent.value
             table = np.zeros(2**BITS, np.float32)
             own = at < 2**BITS
             table[at[own]] = weights[own]
@@ -135,12 +156,11 @@ class ToxicityModel:
 
     def scores(self, docs: DataFrame) -> DataFrame:
         """doc_id, score per row; a null text is the empty one."""
-        return docs.select("doc_id", "text").mapInArrow(released(self.scorer()), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+        return docs.select("doc_id", "text").mapInArrow(released(self.scorer(docs.sparkSession)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
     def filter(self, docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         """The rows of docs, all columns, that score below the threshold."""
-        at, weights = self.at, self.weights
-        score = ToxicityModel(at, weights).scorer()
+        score = self.scorer(docs.sparkSession)
 
         def run(batches):
             import pyarrow as pa
