@@ -65,6 +65,18 @@ def load(name: str) -> "FastTokens":
     return _loaded[name]
 
 
+def _ranked(model: dict, added: set[str]) -> bool:
+    """Whether ids can serve as ranks: plain byte-pair merges, in the order of the ids of what they make, and nothing besides."""
+    if model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges", "fuse_unk")):
+        return False
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"].get("".join(m)) for m in pairs]
+    if not made or None in made or any(a >= b for a, b in zip(made, made[1:], strict=False)):
+        return False
+    merged = set(made)
+    return all(i in merged or i < made[0] for t, i in model["vocab"].items() if t not in added)
+
+
 def _merger(model: dict, added: set[str]):
     """ids of one pre-token. Tokens are written with a printable character for each
     byte; the end-of-word mark becomes byte 255, which no UTF-8 text has."""
@@ -100,8 +112,11 @@ class FastTokens:
             self.split = _SPLIT["bytes"]
         elif norm and [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and pre["type"] == "Sequence":
             self.lower, self.split = True, _SPLIT["words"]
+        added = {t["content"] for t in j["added_tokens"]}
+        if self.split is not None and not _ranked(j["model"], added):
+            self.split = None  # the library then does it all
         if self.split is not None:
-            self.merge = _merger(j["model"], {t["content"] for t in j["added_tokens"]})
+            self.merge = _merger(j["model"], added)
         self.special = re.compile("|".join(re.escape(t["content"][:2]) for t in j["added_tokens"]) or "(?!)")
         self.known: dict[str, bytes] = {}
 

@@ -13,28 +13,29 @@ from pyspark.sql import types as T
 from quillmap.llm.common import shared_path
 from quillmap.llm.fast_tokens import load, slices, version_digest
 
-CACHE = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
+CACHE = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("version", T.StringType())])
 
 
 class TokenCountCache:
-    """Counts by content digest, one folder for each tokenizer version, in a shared store."""
+    """Counts by the digests of content and tokenizer version, in a shared store; versions have folders of their own, so others' are not read."""
 
     def __init__(self, spark: SparkSession, path: str, tokenizer: str):
-        self.spark, self.tokenizer = spark, tokenizer
-        self.path = f"{path.rstrip('/')}/{version_digest(tokenizer)}"
+        self.spark, self.path = spark, path.rstrip("/")
+        self.version = version_digest(tokenizer)
 
     def exists(self) -> bool:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def read(self) -> DataFrame:
-        """One row for each digest, also when two jobs have appended the same one."""
+        """digest, version, n_tokens of this version: one row for each digest, also when two jobs have appended the same one."""
         if not self.exists():
             return self.spark.createDataFrame([], CACHE)
-        return self.spark.read.schema(CACHE).parquet(self.path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+        stored = self.spark.read.schema(CACHE).parquet(self.path).filter(F.col("version") == self.version)
+        return stored.groupBy("digest", "version").agg(F.max("n_tokens").alias("n_tokens"))
 
     def append(self, counts: DataFrame) -> None:
-        counts.select("digest", "n_tokens").write.mode("append").parquet(self.path)
+        counts.select("digest", "n_tokens", F.lit(self.version).alias("version")).write.mode("append").partitionBy("version").parquet(self.path)
 
 
 def _packed(batches):
@@ -44,7 +45,7 @@ def _packed(batches):
 
     z = zstandard.ZstdCompressor(level=1)
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array([z.compress(t.encode("utf-8", "surrogatepass")) for t in b.column("text").to_pylist()], pa.binary())], ["digest", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array([z.compress(t.encode()) for t in b.column("text").to_pylist()], pa.binary())], ["digest", "packed"])
 
 
 def _encoder(tokenizer: str):
@@ -74,11 +75,11 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache_pa
     spark = docs.sparkSession
     cache = TokenCountCache(spark, cache_path or shared_path(spark, "token-counts"), tokenizer)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
-    misses = keyed.select("digest", "text")
+    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256))).withColumn("version", F.lit(cache.version))
+    misses = keyed.select("digest", "version", "text")
     if cache.exists():
-        misses = misses.join(cache.read(), "digest", "left_anti")
-    distinct = misses.mapInArrow(_packed, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
-    cache.append(distinct.mapInArrow(_encoder(tokenizer), CACHE))
-    sized = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return sized.join(cache.read(), "digest", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+        misses = misses.join(cache.read(), ["digest", "version"], "left_anti")
+    distinct = misses.select("digest", "text").mapInArrow(_packed, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
+    cache.append(distinct.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens long"))
+    sized = keyed.select("doc_id", "digest", "version", F.octet_length("text").cast("long").alias("n_bytes"))
+    return sized.join(cache.read(), ["digest", "version"], "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

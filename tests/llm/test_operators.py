@@ -258,6 +258,24 @@ def test_toxicity(spark, none):
     assert ((got["doc_id"] % 3 == 0) == (got["predicted"] == 1)).mean() > 0.95
     assert toxicity.score_documents(none, labels).count() == 0
     assert set(toxicity.score_documents(docs, labels.limit(0)).toPandas()["score"]) == {0.5}
+    # null, empty and very long texts, repeated rows, other columns and labels of no use
+    odd = [(1000, None, 1.0), (1001, "", 1.0), (1002, "plain words " * 100_000 + "awful scum", 2.0), (1002, "plain words " * 100_000 + "awful scum", 2.0), (None, "good day", 0.0)]
+    more = docs.withColumn("score", F.lit(0.0)).unionByName(spark.createDataFrame(odd, "doc_id long, text string, score double"))
+    marked = labels.unionByName(spark.createDataFrame([(1000, None), (None, 1), (1, 0)], "doc_id long, toxic int"))
+    rows = toxicity.score_documents(more, marked).collect()
+    assert len(rows) == 305 and all(0 <= r["score"] <= 1 for r in rows)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[1000]["score"] == by[1001]["score"] and len({r["score"] for r in rows if r["doc_id"] == 1002}) == 1 and by[None]["predicted"] == 0
+
+
+def test_toxicity_of_the_held_out(spark):
+    """On the driver's table: rows that training did not see, by rank and at the threshold."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = toxicity.score_documents(docs, labels).filter("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    bad, good = ([r["score"] for r in got if r["toxic"] == k] for k in (1, 0))
+    auc = sum((a > b) + 0.5 * (a == b) for a in bad for b in good) / (len(bad) * len(good))
+    assert auc >= 0.9 and sum(r["predicted"] for r in got if r["toxic"] == 0) <= 0.02 * len(good)
 
 
 def test_top_k(spark):

@@ -131,7 +131,49 @@ def test_ftrl_learns_a_word():
         own = [rng.choice(words) for _ in range(30)]
         labels.append(i % 4 == 0)
         texts.append(" ".join(own + ["awful"] * labels[-1]))
-    at, w = toxicity.train(lambda i: texts[i], labels)
+    at, w = toxicity.train(lambda i: toxicity.features(texts[i]), labels)
     d = dict(zip(at.tolist(), w.tolist(), strict=True))
     score = lambda t: d.get(2**toxicity.BITS, 0) + sum(d.get(int(f), 0) for f in set(toxicity.features(t)))
     assert score("w1 w2 awful w3") > 0 > score("w1 w2 w3") and len(at) < 2000
+
+
+def test_ftrl_is_the_plain_one():
+    """Coordinate by coordinate, in dictionaries, against the arrays."""
+    import math
+
+    rng = random.Random(9)
+    rows = [sorted({rng.randrange(50) for _ in range(8)}) for _ in range(120)]
+    labels = [float(sum(r) % 3 == 0) for r in rows]
+    alpha, beta, l1, l2, epochs, seed = 0.5, 1.0, 0.6, 0.1, 3, 7
+    at, got = toxicity.train(lambda i: np.array(rows[i], np.uint32), labels, epochs, alpha, beta, l1, l2, 1.0, seed)
+    z, n, bias = {}, {}, 2**toxicity.BITS
+
+    def weight(f):
+        l = 0.0 if f == bias else l1  # noqa: E741
+        if abs(z.get(f, 0.0)) <= l:
+            return 0.0
+        return -(z[f] - math.copysign(l, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    order = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for i in order.permutation(len(rows)).tolist():
+            own = [*rows[i], bias]
+            p = 1 / (1 + math.exp(-sum(weight(f) for f in own)))
+            steps = []
+            for f in own:
+                g, w = p - labels[i], weight(f)
+                sigma = (math.sqrt(n.get(f, 0.0) + g * g) - math.sqrt(n.get(f, 0.0))) / alpha
+                steps.append((f, g - sigma * w, g * g))
+            for f, dz, dn in steps:
+                z[f], n[f] = z.get(f, 0.0) + dz, n.get(f, 0.0) + dn
+    want = {f: weight(f) for f in z if weight(f)}
+    assert set(at.tolist()) == set(want) and len(want) < 51
+    assert all(abs(want[f] - w) < 1e-9 for f, w in zip(at.tolist(), got.tolist(), strict=True))
+
+
+def test_only_merges_in_order_are_ranks():
+    model = {"type": "BPE", "vocab": {"a": 0, "b": 1, "ab": 2, "aba": 3}, "merges": ["a b", "ab a"]}
+    assert fast_tokens._ranked(model, set())
+    assert not fast_tokens._ranked(model | {"merges": ["ab a", "a b"]}, set())
+    assert not fast_tokens._ranked(model | {"byte_fallback": True}, set()) and not fast_tokens._ranked(model | {"vocab": model["vocab"] | {"z": 9}}, set())
+    assert all(fast_tokens.load(n).split is not None for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
