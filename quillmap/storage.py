@@ -33,11 +33,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/quillmap/{name}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files go when the execution that made them has ended.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
+
+    The shuffle files of the writing are removed with it, as nothing will read them again.
+    """
+    spark = df.sparkSession
+    path, before = shared_path(spark, name), spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def removed(spark: SparkSession, *tables: DataFrame) -> None:
