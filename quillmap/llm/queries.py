@@ -14,7 +14,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeated(table(spark, sf_dir, "documents")).drop("kept")
+    return substring_dedup.remove_repeated(table(spark, sf_dir, "documents")).drop("kept", "removed")
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

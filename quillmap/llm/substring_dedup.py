@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmap.llm.common import written
+from quillmap.llm.common import released, written
 from quillmap.llm.fast_tokens import pack_texts, unpack_texts
 from quillmap.llm.jaccard_join import _split, word_hashes
 
@@ -33,6 +33,46 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.iinfo(np.int64).max
 
 
+class RangeLeast:
+    """Least number of ranges: ranks of 32 bits, running minima within blocks, a sparse table over the blocks only."""
+
+    BLOCK = 32
+
+    def __init__(self, numbers: np.ndarray):
+        self.names, ranks = np.unique(numbers, return_inverse=True)
+        n, size = len(ranks), self.BLOCK
+        padded = np.full(-(-n // size) * size, len(self.names), np.int32)
+        padded[:n] = ranks
+        blocks = padded.reshape(-1, size)
+        self.ranks = padded
+        self.ahead = np.minimum.accumulate(blocks, 1).reshape(-1)
+        self.behind = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].reshape(-1)
+        self.table = [blocks.min(1)]
+        while 2 ** len(self.table) <= len(blocks):
+            last, half = self.table[-1], 2 ** (len(self.table) - 1)
+            self.table.append(np.minimum(last[:-half], last[half:]))
+
+    def __call__(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """For each lo < hi."""
+        a, b = lo // self.BLOCK, (hi - 1) // self.BLOCK
+        out = np.minimum(self.behind[lo], self.ahead[hi - 1])
+        near = np.flatnonzero(a == b)
+        if len(near):
+            best = self.ranks[lo[near]]
+            for k in range(1, int((hi[near] - lo[near]).max())):
+                best = np.minimum(best, self.ranks[np.minimum(lo[near] + k, hi[near] - 1)])
+            out[near] = best
+        far = np.flatnonzero(b - a > 1)
+        if len(far):
+            n = b[far] - a[far] - 1
+            level = np.frexp(n.astype(np.float64))[1] - 1  # the greatest power of two that is no more
+            for v in np.unique(level):
+                own = far[level == v]
+                row = self.table[v]
+                out[own] = np.minimum(out[own], np.minimum(row[a[own] + 1], row[b[own] - (1 << int(v))]))
+        return self.names[out]
+
+
 class FMIndex:
     """Over sequences of symbols, each with a number; answers for patterns of up to `longest` symbols."""
 
@@ -58,12 +98,8 @@ class FMIndex:
         self.sigma = len(self.alphabet) + 1
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=self.sigma))])
         self._wavelet(bwt)
-        # least number of each range of suffixes, by a sparse table
         owner = np.repeat(np.asarray(numbers, np.int64), [len(s) + 1 for s in sequences]) if sequences else np.full(1, _NONE)
-        self.least = [owner[order]]
-        while 2 ** len(self.least) <= n:
-            last, half = self.least[-1], 2 ** (len(self.least) - 1)
-            self.least.append(np.minimum(last[:-half], last[half:]))
+        self.least = RangeLeast(owner[order])
 
     def _wavelet(self, bwt: np.ndarray) -> None:
         """Bits of each level packed in words of 64, with the number of ones before each word."""
@@ -110,12 +146,7 @@ class FMIndex:
             length[live] = k
             if not len(live):
                 return length, least
-        level = np.int64(np.log2(hi - lo))
-        level -= (1 << level) > hi - lo
-        for v in np.unique(level):
-            own = level == v
-            row = self.least[v]
-            least[live[own]] = np.minimum(row[lo[own]], row[hi[own] - (1 << int(v))])
+        least[live] = self.least(lo, hi)
         return length, least
 
 
@@ -165,7 +196,7 @@ def _segment_rows(window: int):
                     for lo, hi in zip(cuts[:-1][own := np.isin(m[cuts[:-1]], lists[i])].tolist(), cuts[1:][own].tolist(), strict=True):
                         out.append((tks[i], los[i], lo, int(m[lo]), raw[lo : hi + window - 1].tobytes()))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["tk", "lo", "start", "fp", "segment"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["tk", "lo", "start", "fp", "segment"])
 
     return run
 
@@ -180,46 +211,66 @@ def _searcher(window: int):
     def run(pdf):
         import pandas as pd
 
-        sequences = [_symbols(s) for s in pdf["segment"]]
-        own = np.flatnonzero(pdf["indexed"].to_numpy())
-        index = FMIndex([sequences[i] for i in own], pdf["lo"].to_numpy(np.int64)[own], window)
-        sizes = np.array([len(s) for s in sequences])
+        own = pdf[pdf["indexed"].to_numpy()]
+        index = FMIndex([_symbols(x) for x in own["segment"]], own["lo"].to_numpy(np.int64), window)
+        stream = pdf[pdf["streamed"].to_numpy()]
+        sequences = [_symbols(x) for x in stream["segment"]]
+        if not sequences:
+            return pd.DataFrame({"segment_key": [], "least": []})
+        sizes = np.array([len(x) for x in sequences])
         windows = sizes - window + 1
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         codes, ends = index.codes(np.concatenate(sequences)), np.repeat(starts, windows) + within + window
         least = np.concatenate([index.matches(codes, ends[lo : lo + QUERIES], window)[1] for lo in range(0, len(ends), QUERIES)])
-        return pd.DataFrame({"segment_key": pdf["segment_key"], "least": np.split(least, np.cumsum(windows)[:-1])})
+        return pd.DataFrame({"segment_key": stream["segment_key"].to_numpy(), "least": np.split(least, np.cumsum(windows)[:-1])})
 
     return run
 
 
+def dealt(segments: DataFrame, bound: int) -> DataFrame:
+    """segments (shard, segment_key, segment and more) once for each cell of their shard: part, slice, indexed, streamed.
+
+    A shard within the bound on bytes is one cell. A larger one has as many parts, which
+    are indexed, as slices, which are searched, and a cell for each part and slice: no task
+    holds more than a part and a slice, however often a passage occurs.
+    """
+    parts = segments.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("segment")) / bound).cast("int").alias("parts"))
+    own = segments.join(parts, "shard")
+    place = lambda k: F.pmod(F.xxhash64("segment_key", F.lit(k)), F.col("parts")).cast("int")
+    cell = lambda p, k, i, o: F.struct(p.alias("part"), k.alias("slice"), i.alias("indexed"), o.alias("streamed"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    indexed = F.transform(every, lambda k: cell(place(1), k, F.lit(True), k == place(2)))
+    streamed = F.transform(F.filter(every, lambda p: p != place(1)), lambda p: cell(p, place(2), F.lit(False), F.lit(True)))
+    return own.select(*segments.columns, F.inline(F.concat(indexed, streamed)))
+
+
 def covered_windows(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFrame]:
     """(firsts, covered): tk, lo of each distinct text, its least id; tk, windows: places of the
     windows of its first document whose words also start in a document with a smaller id.
 
-    docs: doc_id (not null), tk (a digest of the text), text.
+    docs: doc_id (not null), tk (a digest of the text, 128 bits), text. A window's words
+    are told apart by their 48-bit hashes, all 13 of them; segments by 128-bit digests.
     """
     firsts = written(docs.groupBy("tk").agg(F.min("doc_id").alias("lo")), "firsts")
-    listed = written(docs.select("tk", "text").mapInArrow(_minimiser_rows(window), "tk long, fps array<long>"), "minimisers")
-    fps = listed.select("tk", F.explode("fps").alias("fp"))
-    shared = written(fps.groupBy("fp").agg(F.min("tk").alias("a"), F.max("tk").alias("b")).filter("a <> b").select("fp"), "shared", free=True)
-    own = written(fps.join(shared, "fp").groupBy("tk").agg(F.collect_set("fp").alias("fps")).join(firsts, "tk"), "own", free=True)
-    packed = docs.select("doc_id", "tk", "text").mapInArrow(pack_texts, "doc_id long, tk long, packed binary")
+    listed = written(docs.select("tk", "text").mapInArrow(released(_minimiser_rows(window)), "tk binary, fps array<long>"), "minimisers")
+    # half of a digest is enough here: texts that share it are only searched more than they need
+    half = F.xxhash64("tk").alias("half")
+    fps = listed.select(half, F.explode("fps").alias("fp"))
+    shared = written(fps.groupBy("fp").agg(F.min("half").alias("a"), F.max("half").alias("b")).filter("a <> b").select("fp"), "shared")
+    own = written(fps.join(shared, "fp").groupBy("half").agg(F.collect_set("fp").alias("fps")).join(firsts.select("*", half), "half").drop("half"), "own")
+    packed = docs.select("doc_id", "tk", "text").mapInArrow(released(pack_texts), "doc_id long, tk binary, packed binary")
     first = packed.join(own, "tk").filter(F.col("doc_id") == F.col("lo")).select("tk", "lo", "fps", "packed")
-    segments = written(first.mapInArrow(_segment_rows(window), "tk long, lo long, start int, fp long, segment binary"), "segments", free=True)
+    segments = written(first.mapInArrow(released(_segment_rows(window)), "tk binary, lo long, start int, fp long, segment binary"), "segments")
     words = segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = max(1, -(-words // (SYMBOL * SHARD_WORDS // 2)))
     keyed = segments.withColumn("shard", F.pmod("fp", F.lit(shards)))
-    key = F.xxhash64("fp", "segment").alias("segment_key")
-    distinct = written(keyed.groupBy("shard", "fp", "segment").agg(F.min("lo").alias("lo")).select("shard", key, "segment", "lo"), "distinct", free=True)
-    parts = distinct.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("segment")) / (SYMBOL * SHARD_WORDS)).cast("int").alias("parts"))
-    own_part = F.pmod(F.xxhash64("segment_key", F.lit(1)), F.col("parts")).cast("int")
-    dealt = distinct.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("indexed", F.col("part") == own_part).drop("parts")
-    found = written(dealt.groupBy("shard", "part").applyInPandas(_searcher(window), "segment_key long, least array<long>"), "found", free=True)
+    key = F.unhex(F.md5(F.concat(F.unhex(F.lpad(F.hex("fp"), 16, "0")), "segment"))).alias("segment_key")
+    distinct = written(keyed.groupBy("shard", "fp", "segment").agg(F.min("lo").alias("lo")).select("shard", key, "segment", "lo"), "distinct")
+    found = written(dealt(distinct, SYMBOL * SHARD_WORDS).groupBy("shard", "part", "slice").applyInPandas(_searcher(window), "segment_key binary, least array<long>"), "found")
     places = F.filter(F.transform("least", lambda m, i: F.when(m < F.col("lo"), F.col("start") + i)), lambda x: x.isNotNull())
     occurrences = segments.select("tk", "lo", "start", key).join(found, "segment_key").select("tk", places.alias("windows")).filter(F.size("windows") > 0)
-    return firsts, written(occurrences.groupBy("tk").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows")), "covered", free=True)
+    return firsts, written(occurrences.groupBy("tk").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows")), "covered")
 
 
 def _cutter(window: int):
@@ -238,15 +289,17 @@ def _cutter(window: int):
                     np.add.at(gone, w + window, -1)
                     left = np.cumsum(gone[:-1]) == 0
                     kept = " ".join([x for x, k in zip(words, left.tolist(), strict=True) if k])
-                    out.append((ids[i], len(words), int(len(words) - left.sum()), hashlib.sha256(kept.encode()).hexdigest(), kept))
+                    edges = np.flatnonzero(np.diff(np.concatenate([[True], left, [True]]).astype(np.int8)))
+                    removed = [{"start": int(x), "end": int(y)} for x, y in edges.reshape(-1, 2)]
+                    out.append((ids[i], len(words), int(len(words) - left.sum()), hashlib.sha256(kept.encode()).hexdigest(), kept, removed))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "removed"])
 
     return run
 
 
 def remove_repeated(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept.
+    """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept, removed (intervals of words, end exclusive).
 
     Removes each word covered by a window of words that also starts in a document with a
     smaller id; windows are judged on the input. A null text has no words. Rows without
@@ -254,13 +307,13 @@ def remove_repeated(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     smaller than each other. An empty table gives an empty result; other columns are
     ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tk", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tk", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     firsts, covered = covered_windows(rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()), window)
     known = firsts.join(covered, "tk", "left")
-    packed = rows.select("doc_id", "tk", "text").mapInArrow(pack_texts, "doc_id long, tk long, packed binary").join(known, "tk", "left")
+    packed = rows.select("doc_id", "tk", "text").mapInArrow(released(pack_texts), "doc_id long, tk binary, packed binary").join(known, "tk", "left")
     numbered = F.col("doc_id").isNotNull()
     judged = packed.select("doc_id", "packed", F.coalesce(F.col("doc_id") > F.col("lo"), F.lit(False)).alias("copy"), F.when(numbered, F.col("windows")).alias("windows"))
-    return judged.mapInArrow(_cutter(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    return judged.mapInArrow(released(_cutter(window)), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, removed array<struct<start:long,end:long>>")
 
 
 SQL = r"""

@@ -63,10 +63,16 @@ def test_targets_stop_at_three_times(spark):
     assert got == {"a": 996.0, "b": 3.0, "c": 3.0}
 
 
-def test_substring_dedup(docs, none):
-    got = sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeated(docs).collect()))
+def test_substring_dedup(docs, none, monkeypatch):
+    found = substring_dedup.remove_repeated(docs).collect()
+    got = sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"], r["kept"]) for r in found))
     assert got == sorted(plain_dedup())
+    assert all(r["n_removed"] == sum(i["end"] - i["start"] for i in r["removed"]) for r in found)
+    assert [(i["start"], i["end"]) for r in found if r["doc_id"] == 3 for i in r["removed"]] == [(1, 21)]
     assert substring_dedup.remove_repeated(none).count() == 0
+    # shards in many parts and slices
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 30)
+    assert sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeated(docs).collect())) == got
 
 
 def plain_dedup(n=13):

@@ -177,3 +177,13 @@ def test_only_merges_in_order_are_ranks():
     assert not fast_tokens._ranked(model | {"merges": ["ab a", "a b"]}, set())
     assert not fast_tokens._ranked(model | {"byte_fallback": True}, set()) and not fast_tokens._ranked(model | {"vocab": model["vocab"] | {"z": 9}}, set())
     assert all(fast_tokens.load(n).split is not None for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+
+
+def test_least_of_ranges_is_the_plain_one():
+    rng = np.random.default_rng(12)
+    for n in (1, 2, 31, 32, 33, 64, 1000):
+        numbers = rng.integers(0, 10**12, n)
+        least = substring_dedup.RangeLeast(numbers)
+        lo = rng.integers(0, n, 300)
+        hi = np.array([rng.integers(x + 1, n + 1) for x in lo])
+        assert least(lo, hi).tolist() == [numbers[a:b].min() for a, b in zip(lo, hi, strict=True)]
