@@ -2,9 +2,12 @@
 
 Detected entities get keyed replacements of their own type, format, script and gender.
 The replacement depends on the key and the entity's normal form alone, so mentions of
-one entity agree everywhere. Replacements are checked over all entities of the table:
+one entity agree everywhere. A name found with a title is also replaced where its words
+stand alone in the same text. Numbers go through a keyed permutation of the numbers of
+their type and length, so different ones stay different by construction; check digits
+are right where they were. Replacements are checked over all entities of the table:
 where two entities would share one, or one would be another entity of the table, the
-later entity draws again until all are distinct.
+later entity draws again; addresses and names get longer with each draw, so that ends.
 """
 
 from __future__ import annotations
@@ -20,17 +23,28 @@ MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин",
 EITHER = ["Dr", "Prof"]
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: By type, in the order in which they are tried at a place.
 PATTERNS = {
     "EMAIL": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\p{L}\p{N}])",
     "IBAN": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "IP": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
+    "IPV6": rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{2,6}}:(?:{_HEX}(?::{_HEX}){{0,4}})?)(?![\p{{L}}\p{{N}}:])",
     "SSN": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
-    "CARD": r"(?<![\p{L}\p{N}.-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?![\p{L}\p{N}])",
-    "PHONE": r"(?:(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\p{L}\p{N}-])\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])",
+    "PASSPORT": r"(?<=\b[Pp]assport (?:[Nn]o\.? |[Nn]umber |[Nn]r\.? )?)[A-Z]{0,2}\d{6,9}(?![\p{L}\p{N}])",
+    "CARD": r"(?<![\p{L}\p{N}.-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\p{L}\p{N}])",
+    "PHONE": r"(?:(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\p{L}\p{N}.-])\d{3}(?: \d{3} |\.\d{3}\.|-\d{3}-)\d{4}|(?<=\b(?:[Tt]el|[Pp]hone|[Ff]ax|[Mm]obile|[Tt]elefon)[.:]{0,2} )0\d{2,4}[ /-]?\d{3,8}(?: \d{2,4})?)(?![\p{L}\p{N}])",
     "PERSON": r"(?<![\p{L}\p{N}])(?:" + "|".join(FEMALE + MALE + EITHER) + r")\.? \p{Lu}[\p{Ll}'’-]{1,40}(?: \p{Lu}[\p{Ll}'’-]{1,40}){0,2}(?![\p{L}\p{N}])",
 }
+#: Types whose replacements are permutations.
+PERMUTED = ["SSN", "CARD", "PHONE", "IBAN", "PASSPORT", "IP"]
+#: Rounds after which a crowded kind of numbers goes back to its first permutation, which is distinct by itself.
+ROUNDS = 6
+#: Most entries of the table of second draws that is broadcast.
+BROADCAST_ENTRIES = 100_000
 ANY = "|".join(PATTERNS.values())
+#: Types that the words before a match decide: their matches by themselves, tried after all others.
+ALONE = {"PASSPORT": r"[A-Z]{0,2}\d{6,9}", "PHONE": r"0\d{2,4}[ /-]?\d{3,8}(?: \d{2,4})?"}
 # Alphabets for letters of each script, and syllables for names.
 _ALPHABETS = {"Cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω", "Latin": "abcdefghijklmnopqrstuvwxyz"}
 _ONSETS = {"Cyrillic": "бвгдзклмнпрстфхш", "Greek": "βγδζθκλμνξπρστφχ", "Latin": "bdfghjklmnprstvz"}
@@ -46,8 +60,8 @@ def _let(value: Column, f) -> Column:
 def kind(m: Column) -> Column:
     """The type of a match."""
     out = F.lit("PERSON")
-    for name in reversed([n for n in PATTERNS if n != "PERSON"]):
-        out = F.when(m.rlike(f"^(?:{PATTERNS[name]})$"), F.lit(name)).otherwise(out)
+    for name, pattern in reversed([*((n, p) for n, p in PATTERNS.items() if n != "PERSON"), *ALONE.items()]):
+        out = F.when(m.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
     return out
 
 
@@ -64,7 +78,7 @@ def _gender(m: Column) -> Column:
 def normal(m: Column, t: Column) -> Column:
     """The form that mentions of one entity share."""
     name = F.concat(_gender(m), F.lit("|"), F.lower(F.regexp_replace(m, r"^[^ ]+ ", "")))
-    return F.concat(t, F.lit(":"), F.when(t == "EMAIL", F.lower(m)).when(t == "PERSON", name).when(t == "IP", m).otherwise(F.regexp_replace(F.upper(m), r"[^0-9A-Z]", "")))
+    return F.concat(t, F.lit(":"), F.when(t == "EMAIL", F.lower(m)).when(t == "PERSON", name).when(t == "IP", m).when(t == "IPV6", F.lower(m)).otherwise(F.regexp_replace(F.upper(m), r"[^0-9A-Z]", "")))
 
 
 def _digest(key: str, *parts: Column) -> Column:
@@ -103,23 +117,99 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.split(F.reverse(digits), ""), F.struct(F.lit(0).alias("sum"), F.lit(True).alias("odd")), add)["sum"]
 
 
-def _card(m: Column, h: Column) -> Column:
-    """Random digits with a last one that is right for a valid number and wrong for an invalid one."""
-    wrong = F.when(luhn_sum(F.regexp_replace(m, "[^0-9]", "")) % 10 == 0, 0).otherwise(1 + _draw(h, F.lit(33)) % 9)
+def _number(h: Column) -> Column:
+    """A number below 2**60 of a digest."""
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
 
-    def spell(s: Column) -> Column:
-        head = F.regexp_replace(F.substr(s, F.lit(1), F.length(s) - F.lit(1)), "[^0-9]", "")
-        last = (F.lit(20) - luhn_sum(F.concat(head, F.lit("0"))) % 10 + wrong) % 10
-        return F.concat(F.substr(s, F.lit(1), F.length(s) - F.lit(1)), last.cast("string"))
 
-    return _let(_respell(m, h), spell)
+def _feistel(left: Column, right: Column, most_left: Column, most_right: Column, key: str, tweak: Column) -> Column:
+    """struct(l, r): a keyed permutation of the pairs of numbers below the two bounds; another one for each tweak."""
+
+    def turn(acc: Column, k: Column) -> Column:
+        own = lambda x: _number(_digest(key, F.lit("round"), tweak, k.cast("string"), x.cast("string")))
+        even = k % 2 == 0
+        return F.struct(F.when(even, (acc["l"] + own(acc["r"])) % most_left).otherwise(acc["l"]).alias("l"), F.when(even, acc["r"]).otherwise((acc["r"] + own(acc["l"])) % most_right).alias("r"))
+
+    return F.aggregate(F.array(*map(F.lit, range(8))), F.struct(left.cast("long").alias("l"), right.cast("long").alias("r")), turn)
+
+
+def permuted(digits: Column, key: str, tweak: Column) -> Column:
+    """A keyed permutation of the strings of as many digits."""
+    n = F.length(digits)
+    a = F.floor(n / 2).cast("int")
+    ten = lambda k: F.pow(F.lit(10.0), k).cast("long")
+    number = lambda x: F.coalesce(F.nullif(x, F.lit("")), F.lit("0")).cast("long")
+    left, right = F.substr(digits, F.lit(1), a), F.substr(digits, a + F.lit(1), n)
+    of = F.concat_ws("/", tweak, n.cast("string"))
+    made = _let(_feistel(number(left), number(right), ten(a), ten(n - a), key, of), lambda p: F.concat(F.when(a > 0, F.lpad(p["l"].cast("string"), a, F.lit("0"))).otherwise(F.lit("")), F.lpad(p["r"].cast("string"), n - a, F.lit("0"))))
+    return F.when(n > 0, made).otherwise(digits)
+
+
+def _put(m: Column, digits: Column) -> Column:
+    """Other digits, as many, between the same separators."""
+    return _let(F.split(m, "[0-9]", -1), lambda g: F.array_join(F.transform(g, lambda x, i: F.concat(x, F.substr(digits, i + F.lit(1), F.lit(1)))), ""))
+
+
+def _digits(m: Column) -> Column:
+    return F.regexp_replace(m, "[^0-9]", "")
+
+
+def _letters_and_digits(m: Column, key: str, tweak: Column) -> Column:
+    """Digits permuted, capitals moved along the alphabet by their place and the new digits: a permutation too."""
+
+    def spell(digits: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            by = _number(_digest(key, F.lit("letter"), tweak, digits, i.cast("string"))) % 26
+            return F.when(c.rlike("[A-Z]"), F.chr((F.ascii(c) - 65 + by) % 26 + 65)).otherwise(c)
+
+        return F.array_join(F.transform(F.split(_put(m, digits), ""), one), "")
+
+    return _let(permuted(_digits(m), key, tweak), spell)
+
+
+def _card(m: Column, key: str, tweak: Column) -> Column:
+    """All digits but the last permuted, and a last one by which Luhn's sum has the rest that it had."""
+
+    def spell(digits: Column) -> Column:
+        head = F.substr(digits, F.lit(1), F.length(digits) - F.lit(1))
+        rest = luhn_sum(digits) % 10
+        return _let(permuted(head, key, tweak), lambda new: _put(m, F.concat(new, ((F.lit(20) - luhn_sum(F.concat(new, F.lit("0"))) % 10 + rest) % 10).cast("string"))))
+
+    return _let(_digits(m), spell)
+
+
+def mod_97(text: Column) -> Column:
+    """A number's remainder by 97, letters counting as 10 to 35."""
+    step = lambda acc, c: F.when(c.rlike("[0-9]"), (acc * 10 + F.ascii(c) - 48) % 97).otherwise((acc * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _iban(m: Column, key: str, tweak: Column) -> Column:
+    """The country's letters, an account permuted, and check digits that are right if they were."""
+    country, check, account = F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(3), F.lit(2)), F.substr(m, F.lit(5), F.length(m))
+    bare = lambda x: F.regexp_replace(x, " ", "")
+    rest = mod_97(F.concat(bare(account), country, check))
+
+    def spell(new: Column) -> Column:
+        c = F.pmod(rest - mod_97(F.concat(bare(new), country, F.lit("00"))), F.lit(97))
+        return F.concat(country, F.lpad(F.when(c < 2, c + 97).otherwise(c).cast("string"), 2, "0"), new)
+
+    return _let(_letters_and_digits(account, key, F.concat_ws("/", tweak, country)), spell)
+
+
+def _ip(m: Column, key: str, tweak: Column) -> Column:
+    part = lambda k: F.split_part(m, F.lit("."), F.lit(k)).cast("long")
+    half = F.lit(65536).cast("long")
+    new = _feistel(part(1) * 256 + part(2), part(3) * 256 + part(4), half, half, key, tweak)
+    return _let(new, lambda p: F.concat_ws(".", *(x.cast("int").cast("string") for x in (F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256))))
 
 
 def _person(m: Column, h: Column, key: str, attempt: Column) -> Column:
     """The honorific and new names: each word by itself, of syllables, the first of several with the gender's ending."""
 
     def spell(script: str, own: Column, female: Column, gendered: Column) -> Column:
-        body = F.concat(*(x for k in range(3) for x in (_pick(_ONSETS[script], _draw(own, F.lit(8 * k))), _pick(_VOWELS[script], _draw(own, F.lit(8 * k + 4))))))
+        # a further draw has a further syllable
+        body = F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2), lambda k: F.concat(_pick(_ONSETS[script], _draw(own, k * 8)), _pick(_VOWELS[script], _draw(own, k * 8 + 4)))), "")
         end = F.when(female, _ENDS[script][0]).otherwise(F.lit(_VOWELS[script][1] + _ENDS[script][1]))
         return F.initcap(F.concat(body, F.when(gendered, F.concat(_pick(_ONSETS[script], _draw(own, F.lit(30))), end)).otherwise("")))
 
@@ -140,16 +230,16 @@ def _person(m: Column, h: Column, key: str, attempt: Column) -> Column:
 def surrogate(m: Column, t: Column, n: Column, attempt: Column, key: str) -> Column:
     """The replacement of mention m with type t and normal form n; a further attempt gives another one."""
 
+    tweak = F.concat_ws("/", t, attempt.cast("string"))
+
     def by(h: Column) -> Column:
-        more = F.when(attempt > 0, _respell(F.lit("0000"), F.reverse(h))).otherwise("")
+        more = F.array_join(F.transform(F.array_repeat(F.lit("0000"), attempt), lambda z, i: _respell(z, _digest(key, h, i.cast("string")))), "")
         email = F.concat(_respell(F.substring_index(m, "@", 1), h), more, F.lit("@"), _let(F.lower(F.substring_index(m, "@", -1)), lambda d: _host(d, key)))
-        ip = F.concat_ws(".", (1 + _draw(h, F.lit(0)) % 223).cast("string"), *((_draw(h, F.lit(9 * k)) % 256).cast("string") for k in (1, 2, 3)))
         country = F.regexp_extract(m, r"^\+\d{1,3}", 0)
-        # by place among the digits, so that mentions with other separators agree in their digits
-        phone = F.concat(country, _redigit(F.substr(m, F.length(country) + F.lit(1), F.length(m)), h))
-        ssn = F.concat(F.lit("9"), F.substr(_redigit(m, h), F.lit(2), F.length(m)))
-        iban = F.concat(F.substr(m, F.lit(1), F.lit(2)), _respell(F.substr(m, F.lit(3), F.length(m)), h))
-        return F.when(t == "EMAIL", email).when(t == "IP", ip).when(t == "PHONE", phone).when(t == "CARD", _card(m, h)).when(t == "SSN", ssn).when(t == "IBAN", iban).otherwise(_person(m, h, key, attempt))
+        number = F.substr(m, F.length(country) + F.lit(1), F.length(m))
+        phone = F.concat(country, _put(number, permuted(_digits(number), key, F.concat_ws("/", tweak, country))))
+        ipv6 = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike("[0-9A-Fa-f]"), _pick("0123456789abcdef", _draw(_digest(key, h, (i % 4).cast("string")), i * 3))).otherwise(c)), "")
+        return F.when(t == "EMAIL", email).when(t == "IP", _ip(m, key, tweak)).when(t == "IPV6", ipv6).when(t == "PHONE", phone).when(t == "CARD", _card(m, key, tweak)).when(t == "SSN", _put(m, permuted(_digits(m), key, tweak))).when(t == "PASSPORT", _letters_and_digits(m, key, tweak)).when(t == "IBAN", _iban(m, key, tweak)).otherwise(_person(m, h, key, attempt))
 
     return _let(_digest(key, n, attempt.cast("string")), by)
 
@@ -160,15 +250,9 @@ def _host(domain: Column, key: str) -> Column:
     return _let(_digest(key, F.lit("domain"), domain), lambda d: F.concat(*(_pick(_ALPHABETS["Latin"], _draw(d, F.lit(5 * k))) for k in range(7)), F.lit(".example."), last))
 
 
-def _redigit(m: Column, h: Column) -> Column:
-    """New digits between the same separators."""
-    gaps = F.split(m, "[0-9]", -1)
-    return _let(gaps, lambda g: F.array_join(F.transform(g, lambda x, i: F.concat(x, F.when(i < F.size(g) - 1, (_draw(h, i) % 10).cast("string")).otherwise(""))), ""))
-
-
 def mentions(text: Column) -> Column:
     """Array of struct(m, t, n): each mention of a text, in order."""
-    maybe = text.rlike("[0-9]")
+    maybe = text.rlike("[0-9]|::")
     for sign in ("@", *(title + dot for title in FEMALE + MALE + EITHER for dot in (" ", ". "))):
         maybe = maybe | text.contains(sign)
     found = F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
@@ -176,32 +260,65 @@ def mentions(text: Column) -> Column:
     return F.transform(typed, lambda e: F.struct(e["m"].alias("m"), e["t"].alias("t"), normal(e["m"], e["t"]).alias("n")))
 
 
-def attempts(docs: DataFrame, key: str, text_col: str = "text", most: int = 12) -> DataFrame | None:
+def attempts(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame | None:
     """n, attempt of the entities whose first draw would not be distinct; None if there is none.
 
     All entities of the table take part: distinct by normal form, aggregated before
     the shuffle. Of entities with one surrogate the first by normal form keeps it; an
-    entity whose surrogate is an entity of the table draws again too.
+    entity whose surrogate is an entity of the table draws again too. Numbers of one type
+    and length that still meet after ROUNDS draws, because there are about as many
+    entities as numbers, all go back to their first permutation: they are distinct
+    then, and some are another entity's number.
     """
     seen = docs.filter(F.col(text_col).isNotNull()).select(F.explode(mentions(F.col(text_col))).alias("e")).select("e.*")
     entities = written(seen.groupBy("n").agg(F.min("m").alias("m"), F.min("t").alias("t")).withColumn("attempt", F.lit(0)), "entities")
     known = entities.select(F.col("n").alias("s"))
-    for k in range(most):
+    settled, k = [], 0
+    while True:
         drawn = written(entities.withColumn("s", _let(surrogate(F.col("m"), F.col("t"), F.col("n"), F.col("attempt"), key), lambda s: normal(s, F.col("t")))), "drawn")
         keeper = drawn.groupBy("s").agg(F.min("n").alias("keeper"), F.count(F.lit(1)).alias("sharing"))
         shared = drawn.join(keeper.filter(F.col("sharing") > 1), "s").filter(F.col("n") != F.col("keeper")).select("n")
         again = written(shared.unionByName(drawn.join(known, "s", "left_semi").select("n")).distinct(), "collisions")
         if again.isEmpty():
-            return entities.filter(F.col("attempt") > 0).select("n", "attempt") if k else None
+            break
+        k += 1
+        if k > ROUNDS:
+            crowded = entities.join(again, "n").filter(F.col("t").isin(PERMUTED)).select("t", F.length("n").alias("size")).distinct()
+            back = written(entities.join(crowded, (entities["t"] == crowded["t"]) & (F.length("n") == F.col("size")), "left_semi").select("n"), "crowded")
+            entities, again = entities.join(back, "n", "left_anti"), again.join(back, "n", "left_anti")
         entities = written(entities.join(again.withColumn("__again", F.lit(1)), "n", "left").withColumn("attempt", F.col("attempt") + F.coalesce("__again", F.lit(0))).drop("__again"), "entities")
-    raise RuntimeError(f"surrogates still collide after {most} draws")
+    return entities.filter(F.col("attempt") > 0).select("n", "attempt") if k else None
 
 
-def replaced(text: Column, found: Column, drawn: Column, key: str) -> Column:
-    """text with its mentions replaced; drawn: map from normal form to attempt, or null."""
-    new = F.transform(found, lambda e: surrogate(e["m"], e["t"], e["n"], F.coalesce(F.element_at(drawn, e["n"]), F.lit(0)), key))
-    gaps = F.split(text, ANY, -1)
-    return F.when(F.size(found) == 0, text).otherwise(F.concat(F.array_join(F.transform(new, lambda s, i: F.concat(F.get(gaps, i), s)), ""), F.element_at(gaps, -1)))
+def names_alone(found: Column, drawn: Column, key: str) -> Column:
+    """Array of struct(bare, s): the names found with a title, whole and by word, and what stands for each; the first mention of a word decides."""
+    words = lambda x: F.split(F.regexp_replace(x, r"^[^ ]+ ", ""), " ")
+
+    def of(e: Column) -> Column:
+        new = words(surrogate(e["m"], e["t"], e["n"], F.coalesce(F.element_at(drawn, e["n"]), F.lit(0)), key))
+        whole = F.struct(F.array_join(words(e["m"]), " ").alias("bare"), F.array_join(new, " ").alias("s"))
+        return F.concat(F.array(whole), F.zip_with(words(e["m"]), new, lambda w, s: F.struct(w.alias("bare"), s.alias("s"))))
+
+    # the longest first, as the first that fits is taken
+    return F.array_sort(F.flatten(F.transform(F.filter(found, lambda e: e["t"] == "PERSON"), of)), lambda a, b: F.length(b["bare"]) - F.length(a["bare"]))
+
+
+def replaced(text: Column, found: Column, drawn: Column, names: Column, key: str) -> Column:
+    """struct(text, n): text with its mentions replaced and their number; drawn: map from normal form to attempt, or null;
+    names: names_alone(), for which texts with a titled name are searched once more."""
+    alone = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(F.transform(names, lambda e: e["bare"]), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    new = lambda m, t, n: surrogate(m, t, n, F.coalesce(F.element_at(drawn, n), F.lit(0)), key)
+
+    def again(m: Column) -> Column:
+        known = F.filter(names, lambda e: e["bare"] == m)
+        return F.when(F.size(known) > 0, F.get(known, F.lit(0))["s"]).otherwise(_let(kind(m), lambda t: _let(normal(m, t), lambda n: new(m, t, n))))
+
+    def joined(parts: Column, gaps: Column) -> Column:
+        return F.concat(F.array_join(F.transform(parts, lambda s, i: F.concat(F.get(gaps, i), s)), ""), F.element_at(gaps, -1))
+
+    plain = joined(F.transform(found, lambda e: new(e["m"], e["t"], e["n"])), F.split(text, ANY, -1))
+    more = _let(F.regexp_extract_all(text, alone, F.lit(0)), lambda ms: F.struct(joined(F.transform(ms, again), F.split(text, alone, -1)).alias("text"), F.size(ms).alias("n")))
+    return F.when(F.size(found) == 0, F.struct(text.alias("text"), F.lit(0).alias("n"))).when(F.size(names) > 0, more).otherwise(F.struct(plain.alias("text"), F.size(found).alias("n")))
 
 
 def with_surrogates(docs: DataFrame, key: str = "quillmap", text_col: str = "text", count_col: str | None = None) -> DataFrame:
@@ -221,10 +338,10 @@ def with_surrogates(docs: DataFrame, key: str = "quillmap", text_col: str = "tex
         digest = F.sha2(F.col(text_col), 256)
         named = own.select(digest.alias("__digest"), F.explode("__found.n").alias("n")).distinct().join(again, "n")
         maps = written(named.groupBy("__digest").agg(F.map_from_entries(F.collect_list(F.struct("n", "attempt"))).alias("__drawn")), "attempts")
-        maps = F.broadcast(maps) if maps.count() <= 10_000 else maps
+        entries = maps.agg(F.coalesce(F.sum(F.size("__drawn")), F.lit(0))).first()[0]
+        maps = F.broadcast(maps) if entries <= BROADCAST_ENTRIES else maps
         own = own.withColumn("__digest", digest).join(maps, "__digest", "left").drop("__digest")
-    out = own.withColumn("__new", replaced(F.col(text_col), F.col("__found"), F.col("__drawn"), key))
-    columns = [F.col("__new").alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
-    return out.select(*columns, *([F.size("__found").alias(count_col)] if count_col else []))
-
-
+    own = own.withColumn("__names", names_alone(F.col("__found"), F.col("__drawn"), key))
+    out = own.withColumn("__new", replaced(F.col(text_col), F.col("__found"), F.col("__drawn"), F.col("__names"), key))
+    columns = [F.col("__new.text").alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
+    return out.select(*columns, *([F.col("__new.n").alias(count_col)] if count_col else []))
