@@ -346,16 +346,24 @@ def test_toxicity_of_the_held_out(spark):
     assert auc >= 0.9 and sum(r["predicted"] for r in got if r["toxic"] == 0) <= 0.02 * len(good)
 
 
-def test_top_k(spark):
-    rows = [(i, [float(i % 7) / 7, float(i % 5) / 5 - 0.5, 0.25]) for i in range(120)] + [(120, None), (121, [float("nan"), 0.0, 0.0]), (122, [1.0, None, 0.0]), (123, [])]
-    v = topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
-    got = topk.top_k(v, v.filter("vec_id % 50 = 0")).collect()
+def plain_top_k(rows, queries, k=5):
+    """rows: (id, whole vector), each a candidate; queries: the ids that ask."""
+    for q in sorted(set(queries)):
+        for own in {tuple(v) for i, v in rows if i == q}:
+            s = sorted(((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in rows if i != q and len(v) == len(own)))
+            yield from ((q, r + 1, i, -x) for r, (x, i) in enumerate(s[:k]))
+
+
+def test_top_k(spark, monkeypatch):
     import math
 
-    whole = {i: [math.floor(256 * x) for x in e] for i, e in rows[:120]}
-    want = []
-    for q in (0, 50, 100):
-        s = {i: sum(a * b for a, b in zip(whole[q], e, strict=True)) for i, e in whole.items() if i != q}
-        want += [(q, k + 1, i, s[i]) for k, i in enumerate(sorted(s, key=lambda i: (-s[i], i))[:5])]
-    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == want
-    assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
+    rows = [(i, [float(i % 7) / 7, float(i % 5) / 5 - 0.5, 0.25]) for i in range(120)] + [(120, None), (121, [float("nan"), 0.0, 0.0]), (122, [1.0, None, 0.0]), (123, []), (None, [0.5, 0.5, 0.5]), (50, [float(50 % 7) / 7, 0.0 - 0.5, 0.25]), (7, [0.0, 2 / 5 - 0.5, 0.25]), (200, [1.0, 2.0]), (201, [3.0, 4.0]), (202, [3.0, 4.0])]
+    frame = spark.createDataFrame([(i, e, "x") for i, e in rows], "vec_id long, embedding array<double>, score string")
+    v = topk.whole_vectors(frame)
+    whole = [(i, [math.floor(256 * x) for x in e]) for i, e in rows if i is not None and e is not None and all(x is not None and x == x for x in e)]
+    want = sorted(plain_top_k(whole, (0, 50, 100, 200)))
+    run = lambda: sorted(tuple(r) for r in topk.top_k(v, v.filter("vec_id % 50 = 0")).collect())
+    assert run() == want  # ties, repeated queries and candidates, vectors of other lengths
+    monkeypatch.setattr(topk, "QUERY_BYTES", 100)  # queries in several groups
+    assert run() == want
+    assert topk.top_k(v.limit(0), v.limit(0)).count() == 0 and topk.top_k(v.limit(0), v.filter("vec_id = 0")).count() == 0

@@ -112,15 +112,24 @@ def test_similar_pairs_both_ways_are_plain():
     assert sorted(jaccard_join.similar_pairs(sets, 0.8, 17)) == [p for p in want if p[0] < 17 <= p[1]]
 
 
-def test_search_block_is_exact():
+def test_search_is_exact_and_prunes():
     rng = np.random.default_rng(5)
-    c, q = rng.integers(-60, 60, (300, 24)), rng.integers(-60, 60, (9, 24))
-    ids = np.arange(300)
-    got = topk.search_block(ids[:9], q, np.full(9, np.iinfo(np.int64).min), ids, c, 4)
-    for i in range(9):
+    # four directions matter, so that bounds can tell candidates apart
+    directions = np.linalg.qr(rng.normal(size=(24, 24)))[0]
+    c = np.floor(rng.normal(size=(3000, 24)) * np.array([300, 200, 100, 50] + [2] * 20) @ directions.T).astype(np.int64) + 40
+    q, ids = c[:9], np.arange(3000)
+    q = np.concatenate([q, np.zeros((1, 24), np.int64)])
+    q_ids = np.append(ids[:9], -1)
+    rotation, seen = topk.Rotation(c[:1000]), [0] * 4
+    best = np.full((10, 4), topk.NONE)
+    for half in (slice(0, 1500), slice(1500, 3000)):  # the second half against the first's best
+        seen[:] = [0] * 4
+        for i, new, s in topk.search_batch(q_ids, q, ids[half], c[half], 4, best, rotation, seen):
+            best[i] = -np.sort(-np.concatenate([best[i], s]))[:4]
+    for i in range(10):
         s = c @ q[i]
-        want = sorted((j for j in ids if j != i), key=lambda j: (-s[j], j))[:4]
-        assert [(b, v) for a, b, v in got if a == i] == [(j, s[j]) for j in want]
+        assert best[i].tolist() == sorted((s[j] for j in ids if j != q_ids[i]), reverse=True)[:4]
+    assert seen[0] >= seen[1] >= seen[2] >= seen[3] and seen[1] < 0.2 * 9 * 1500 + 1500
 
 
 def test_ftrl_learns_a_word():
