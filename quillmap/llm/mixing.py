@@ -47,7 +47,7 @@ def source_targets(sizes: DataFrame, cycle=(1, 2, 3), most: int = 3) -> DataFram
 
 def _draw(docs: DataFrame, seed: str, id_col: str, text_col: str) -> Column:
     """A uniform number of the seed and the id; a row without an id draws by its text."""
-    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
     return _hash(F.lit(seed), own) / F.lit(float(2**48))
 
 
