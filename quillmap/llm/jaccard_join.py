@@ -33,7 +33,7 @@ from quillmap.llm.graph import components
 #: Minhash coordinates of 16 bits.
 COORDINATES = 64
 #: Most sets in a bucket that is compared by brute force.
-SMALL = 64
+SMALL = 512
 #: Levels through which runs_for() counts a pair's way; buckets are split as long as they are large.
 DEPTH = 6
 #: A block of the exact comparison holds so many sets and shingles on average, at most.
@@ -170,8 +170,9 @@ def _brute(similar: float):
             m = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), -1)
             if len(ids) < 2:
                 continue
-            near = (m[:, None, :] == m[None, :, :]).mean(2) >= similar
-            i, j = np.nonzero(np.triu(near, 1))
+            found = [np.nonzero((m[lo : lo + 64, None, :] == m[None, lo + 1 :, :]).mean(2) >= similar) for lo in range(0, len(ids), 64)]
+            i, j = (np.concatenate(x) for x in zip(*((a + lo, b + lo + 1) for lo, (a, b) in zip(range(0, len(ids), 64), found, strict=True)), strict=True))
+            i, j = i[j > i], j[j > i]
             if len(i):
                 out += [(ids[a], ids[r]) for a, r in enumerate(_roots(len(ids), zip(i.tolist(), j.tolist(), strict=True))) if a != r]
             if len(out) >= 10_000:
