@@ -58,10 +58,11 @@ class RangeLeast:
         out = np.minimum(self.behind[lo], self.ahead[hi - 1])
         near = np.flatnonzero(a == b)
         if len(near):
-            best = self.ranks[lo[near]]
-            for k in range(1, int((hi[near] - lo[near]).max())):
-                best = np.minimum(best, self.ranks[np.minimum(lo[near] + k, hi[near] - 1)])
-            out[near] = best
+            out[near] = self.ranks[lo[near]]
+            k = 1
+            while len(near := near[hi[near] - lo[near] > k]):  # most ranges are short: only those still open go on
+                out[near] = np.minimum(out[near], self.ranks[lo[near] + k])
+                k += 1
         far = np.flatnonzero(b - a > 1)
         if len(far):
             n = b[far] - a[far] - 1
@@ -253,15 +254,15 @@ def covered_windows(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataF
     are told apart by their 48-bit hashes, all 13 of them; segments by 128-bit digests.
     """
     firsts = written(docs.groupBy("tk").agg(F.min("doc_id").alias("lo")), "firsts")
-    listed = written(docs.select("tk", "text").mapInArrow(released(_minimiser_rows(window)), "tk binary, fps array<long>"), "minimisers")
+    listed = written(docs.select("tk", "text").mapInArrow(_minimiser_rows(window), "tk binary, fps array<long>"), "minimisers")
     # half of a digest is enough here: texts that share it are only searched more than they need
     half = F.xxhash64("tk").alias("half")
     fps = listed.select(half, F.explode("fps").alias("fp"))
     shared = written(fps.groupBy("fp").agg(F.min("half").alias("a"), F.max("half").alias("b")).filter("a <> b").select("fp"), "shared")
     own = written(fps.join(shared, "fp").groupBy("half").agg(F.collect_set("fp").alias("fps")).join(firsts.select("*", half), "half").drop("half"), "own")
-    packed = docs.select("doc_id", "tk", "text").mapInArrow(released(pack_texts), "doc_id long, tk binary, packed binary")
+    packed = docs.select("doc_id", "tk", "text").mapInArrow(pack_texts, "doc_id long, tk binary, packed binary")
     first = packed.join(own, "tk").filter(F.col("doc_id") == F.col("lo")).select("tk", "lo", "fps", "packed")
-    segments = written(first.mapInArrow(released(_segment_rows(window)), "tk binary, lo long, start int, fp long, segment binary"), "segments")
+    segments = written(first.mapInArrow(_segment_rows(window), "tk binary, lo long, start int, fp long, segment binary"), "segments")
     words = segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = max(1, -(-words // (SYMBOL * SHARD_WORDS // 2)))
     keyed = segments.withColumn("shard", F.pmod("fp", F.lit(shards)))
