@@ -12,6 +12,7 @@ document in the range of suffixes. Copies of a whole text are told by its digest
 from __future__ import annotations
 
 import hashlib
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,10 +27,11 @@ GRAM = 5
 #: Words of distinct segments in a shard's index, at most: larger shards are indexed in parts.
 SHARD_WORDS = 100_000
 #: Places of the stream that are searched at a time.
-QUERIES = 100_000
+QUERIES = 16_000
 #: Bytes of a word's hash in a segment.
 SYMBOL = 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_ONE = np.uint32(1)
 _NONE = np.iinfo(np.int64).max
 
 
@@ -78,72 +80,89 @@ class FMIndex:
     """Over sequences of symbols, each with a number; answers for patterns of up to `longest` symbols."""
 
     def __init__(self, sequences: list[np.ndarray], numbers: np.ndarray, longest: int):
-        flat = np.concatenate([x for s in sequences for x in (s, [0])]) if sequences else np.zeros(1, np.uint64)
-        ends = np.zeros(len(flat), bool)
-        ends[np.cumsum([len(s) + 1 for s in sequences]) - 1] = True
-        self.alphabet = np.unique(flat[~ends])
-        text = np.where(ends, 0, np.searchsorted(self.alphabet, flat) + 1)  # 0 separates
+        sizes = np.array([len(x) for x in sequences], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *sequences])
+        self.alphabet, codes = np.unique(flat, return_inverse=True)
+        text = np.zeros(max(1, int((sizes + 1).sum())), np.int32)  # 0 separates
+        text[np.arange(len(flat)) + np.repeat(np.arange(len(sizes)), sizes)] = codes + 1
         n = len(text)
         rank, step = text.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
         while step <= longest:  # suffixes in the order of their first `step` symbols, doubled
-            second = np.zeros(n, np.int64)
-            second[: n - step] = rank[step:] + 1
-            key = rank * (n + 2) + second
+            key = rank * (n + 2)
+            key[: n - step] += rank[step:] + 1
             order = np.argsort(key, kind="stable")
-            new = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
-            rank = np.empty(n, np.int64)
-            rank[order] = new
+            ordered = key[order]
+            rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
             step *= 2
-        bwt = text[order - 1]
         self.sigma = len(self.alphabet) + 1
-        self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=self.sigma))])
-        self._wavelet(bwt)
-        owner = np.repeat(np.asarray(numbers, np.int64), [len(s) + 1 for s in sequences]) if sequences else np.full(1, _NONE)
+        self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=self.sigma))]).astype(np.int32)
+        self._wavelet(text[order - 1])
+        owner = np.repeat(np.asarray(numbers, np.int64), sizes + 1) if len(sizes) else np.full(1, _NONE)
         self.least = RangeLeast(owner[order])
 
     def _wavelet(self, bwt: np.ndarray) -> None:
-        """Bits of each level packed in words of 64, with the number of ones before each word."""
+        """Bits of each level packed in words of 32, with the number of ones before each word."""
         self.levels = []
         for bit in reversed(range(max(1, int(self.sigma - 1).bit_length()))):
             ones = (bwt >> bit & 1).astype(np.uint8)
-            padded = np.zeros(-(-(len(ones) + 1) // 64) * 64, np.uint8)
+            padded = np.zeros(-(-(len(ones) + 1) // 32) * 32, np.uint8)
             padded[: len(ones)] = ones
-            words = np.packbits(padded, bitorder="little").view(np.uint64)
+            words = np.packbits(padded, bitorder="little").view(np.uint32)
             counts = np.concatenate([[0], np.cumsum(np.bitwise_count(words).astype(np.int32))[:-1]]).astype(np.int32)
-            self.levels.append((bit, words, counts, int(len(ones) - ones.sum())))
+            self.levels.append((bit, words, counts, np.int32(len(ones) - ones.sum())))
             bwt = np.concatenate([bwt[ones == 0], bwt[ones == 1]])
-        self.start = self._descend(np.arange(self.sigma), np.zeros(self.sigma, np.int64))
+        self.start = self._descend(np.arange(self.sigma, dtype=np.int32), np.zeros(self.sigma, np.int32))
 
     def _descend(self, symbols: np.ndarray, i: np.ndarray) -> np.ndarray:
         for bit, words, counts, zeros in self.levels:
-            at = i >> 6
-            ones = counts[at] + np.bitwise_count(words[at] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)))
-            i = np.where(symbols >> bit & 1, zeros + ones, i - ones)
+            at = i >> 5
+            ones = counts[at] + np.bitwise_count(words[at] & ((_ONE << (i & 31).view(np.uint32)) - _ONE))
+            i = np.where(symbols & (1 << bit), zeros + ones, i - ones)
         return i
 
+    def _follow(self, symbols: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As _descend, and whether the transform has that symbol at i: what a range of one place needs of its end."""
+        own = np.ones(len(i), bool)
+        for bit, words, counts, zeros in self.levels:
+            at, place = i >> 5, (i & 31).view(np.uint32)
+            word, one = words[at], (symbols & (1 << bit)) != 0
+            own &= ((word >> place) & _ONE).view(np.int32).astype(bool) == one
+            ones = counts[at] + np.bitwise_count(word & ((_ONE << place) - _ONE))
+            i = np.where(one, zeros + ones, i - ones)
+        return i, own
+
     def extend(self, symbols: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the ranges of the patterns with a symbol before them."""
         base = self.before[symbols] - self.start[symbols]
-        return base + self._descend(symbols, lo), base + self._descend(symbols, hi)
+        low, own = self._follow(symbols, lo)
+        low += base
+        high = low + own
+        wide = np.flatnonzero(hi - lo != 1)
+        if len(wide):
+            high[wide] = base[wide] + self._descend(symbols[wide], hi[wide])
+        return low, high
 
     def codes(self, symbols: np.ndarray) -> np.ndarray:
         """The index's codes; 0, which matches nothing here, for symbols it has not."""
-        at = np.minimum(np.searchsorted(self.alphabet, symbols), max(len(self.alphabet) - 1, 0))
-        return np.where(self.alphabet[at] == symbols, at + 1, 0) if len(self.alphabet) else np.zeros(len(symbols), np.int64)
+        if not len(self.alphabet):
+            return np.zeros(len(symbols), np.int32)
+        at = np.minimum(np.searchsorted(self.alphabet, symbols), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == symbols, at + 1, 0).astype(np.int32)
 
     def matches(self, codes: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Matching statistics of a stream of codes: for each end, the length up to `most` of the longest match that ends
         before it, and the least number among the sequences with a match of length `most`."""
+        codes = np.asarray(codes, np.int32)
         length, least = np.zeros(len(ends), np.int64), np.full(len(ends), _NONE)
         live = np.arange(len(ends))
-        lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), self.before[-1])
+        lo, hi = np.zeros(len(ends), np.int32), np.full(len(ends), self.before[-1])
         for k in range(1, most + 1):
             live_at = ends[live] - k
-            c = np.where(live_at >= 0, codes[np.maximum(live_at, 0)], 0)
-            lo, hi = self.extend(c, lo, hi)
+            c = np.where(live_at >= 0, codes[np.maximum(live_at, 0)], np.int32(0))
+            lo, hi = (self.before[c], self.before[c + 1]) if k == 1 else self.extend(c, lo, hi)
             on = (hi > lo) & (c > 0)
-            live, lo, hi = live[on], lo[on], hi[on]
+            if not on.all():
+                live, lo, hi = live[on], lo[on], hi[on]
             length[live] = k
             if not len(live):
                 return length, least
@@ -186,7 +205,7 @@ def _segment_rows(window: int):
         import pyarrow as pa
 
         for b in batches:
-            tks, los, lists = (b.column(c).to_pylist() for c in ("tk", "lo", "fps"))
+            tks, los, lists = b.column("tk").to_pylist(), b.column("lo").to_pylist(), b.column("fps")
             for at, texts in unpack_texts(b):
                 out = []
                 for i, t in zip(at, texts, strict=True):
@@ -194,7 +213,7 @@ def _segment_rows(window: int):
                     m = minimisers(h, window)
                     cuts = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1], [True]]))
                     raw = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
-                    for lo, hi in zip(cuts[:-1][own := np.isin(m[cuts[:-1]], lists[i])].tolist(), cuts[1:][own].tolist(), strict=True):
+                    for lo, hi in zip(cuts[:-1][own := np.isin(m[cuts[:-1]], lists[i].values.to_numpy())].tolist(), cuts[1:][own].tolist(), strict=True):
                         out.append((tks[i], los[i], lo, int(m[lo]), raw[lo : hi + window - 1].tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["tk", "lo", "start", "fp", "segment"])
@@ -202,10 +221,13 @@ def _segment_rows(window: int):
     return run
 
 
-def _symbols(segment: bytes) -> np.ndarray:
-    out = np.zeros((len(segment) // SYMBOL, 8), np.uint8)
-    out[:, :SYMBOL] = np.frombuffer(segment, np.uint8).reshape(-1, SYMBOL)
-    return out.reshape(-1).view("<u8") + np.uint64(1)  # 0 separates
+def _symbols(segments: list[bytes]) -> list[np.ndarray]:
+    """The words' hashes of each segment, from 1: 0 separates."""
+    raw = np.frombuffer(b"".join(segments), np.uint8).reshape(-1, SYMBOL)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :SYMBOL] = raw
+    flat, ends = out.reshape(-1).view("<u8") + np.uint64(1), list(accumulate(len(x) // SYMBOL for x in segments))
+    return [flat[lo:hi] for lo, hi in zip([0, *ends], ends)]
 
 
 def _searcher(window: int):
@@ -213,9 +235,9 @@ def _searcher(window: int):
         import pandas as pd
 
         own = pdf[pdf["indexed"].to_numpy()]
-        index = FMIndex([_symbols(x) for x in own["segment"]], own["lo"].to_numpy(np.int64), window)
+        index = FMIndex(_symbols(own["segment"].tolist()), own["lo"].to_numpy(np.int64), window)
         stream = pdf[pdf["streamed"].to_numpy()]
-        sequences = [_symbols(x) for x in stream["segment"]]
+        sequences = _symbols(stream["segment"].tolist())
         if not sequences:
             return pd.DataFrame({"segment_key": [], "least": []})
         sizes = np.array([len(x) for x in sequences])
