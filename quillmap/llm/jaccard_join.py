@@ -62,6 +62,21 @@ def word_hashes(text: str) -> np.ndarray:
     return out
 
 
+def hashed_words(texts) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes of many texts (an Arrow array) one after the other, and where each text's begin, with the end; null is empty."""
+    import pyarrow.compute as pc
+    import xxhash
+
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words = lists.flatten()
+    coded = words.dictionary_encode()
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    out = hashes[coded.indices.to_numpy()]
+    places = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
+    filled = pc.binary_length(words).to_numpy() > 0  # white space at either end leaves an empty word
+    return out[filled], np.concatenate([[0], np.cumsum(filled)])[places]
+
+
 def _split(text: str) -> list[str]:
     for c in "\t\n\x0b\x0c\r":
         if c in text:

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmap.llm.common import released, written
-from quillmap.llm.fast_tokens import pack_texts, unpack_texts
-from quillmap.llm.jaccard_join import _split, word_hashes
+from quillmap.llm.fast_tokens import pack_texts, slices, unpack_texts
+from quillmap.llm.jaccard_join import _split, hashed_words
 
 #: Words of the n-grams among which a window's minimiser is the least.
 GRAM = 5
@@ -170,12 +170,14 @@ class FMIndex:
         return length, least
 
 
-def minimisers(h: np.ndarray, window: int) -> np.ndarray:
-    """Per window of a document's word hashes its minimiser."""
+def minimiser_runs(h: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of a text's windows with one minimiser, of texts whose word hashes lie one after the other between places:
+    the text, the run's first place in h, its number of windows and its minimiser."""
     gram = min(GRAM, window)
     n = len(h) - window + 1
     if n <= 0:
-        return np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
     g = np.zeros(len(h) - gram + 1, np.uint64)
     for j in range(gram):
         g = (g ^ h[j : len(h) - gram + 1 + j]) * _MIX
@@ -183,17 +185,27 @@ def minimisers(h: np.ndarray, window: int) -> np.ndarray:
     least = g[:n].copy()
     for j in range(1, window - gram + 1):
         np.minimum(least, g[j : n + j], out=least)
-    return least.view(np.int64)
+    text = np.repeat(np.arange(len(places) - 1), np.diff(places))[:n]
+    whole = np.flatnonzero(np.arange(window, n + window) <= places[text + 1])  # windows within one text
+    text, least = text[whole], least[whole].view(np.int64)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(whole)), bool), (text[1:] != text[:-1]) | (least[1:] != least[:-1])]))
+    return text[first], whole[first], np.diff(np.concatenate([first, [len(whole)]])), least[first]
 
 
 def _minimiser_rows(window: int):
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for b in batches:
-            own = [np.unique(minimisers(word_hashes(t), window)) for t in b.column("text").to_pylist()]
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("tk"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *own])))], ["tk", "fps"])
+            texts = b.column("text")
+            for lo, hi in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                text, _, _, least = minimiser_runs(*hashed_words(texts.slice(lo, hi - lo)), window)
+                order = np.lexsort((least, text))
+                text, least = text[order], least[order]
+                new = np.concatenate([np.ones(min(1, len(text)), bool), (text[1:] != text[:-1]) | (least[1:] != least[:-1])])
+                places = np.searchsorted(text[new], np.arange(hi - lo + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("tk").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(places), pa.array(least[new]))], ["tk", "fps"])
 
     return run
 
@@ -205,18 +217,20 @@ def _segment_rows(window: int):
         import pyarrow as pa
 
         for b in batches:
-            tks, los, lists = b.column("tk").to_pylist(), b.column("lo").to_pylist(), b.column("fps")
             for at, texts in unpack_texts(b):
-                out = []
-                for i, t in zip(at, texts, strict=True):
-                    h = word_hashes(t)
-                    m = minimisers(h, window)
-                    cuts = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1], [True]]))
-                    raw = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
-                    for lo, hi in zip(cuts[:-1][own := np.isin(m[cuts[:-1]], lists[i].values.to_numpy())].tolist(), cuts[1:][own].tolist(), strict=True):
-                        out.append((tks[i], los[i], lo, int(m[lo]), raw[lo : hi + window - 1].tobytes()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["tk", "lo", "start", "fp", "segment"])
+                h, places = hashed_words(pa.array(texts, pa.string()))
+                text, first, windows, least = minimiser_runs(h, places, window)
+                # that a minimiser is shared holds for all texts alike, so the lists of a slice serve together
+                own = np.isin(least, b.column("fps").slice(at.start, len(at)).flatten().to_numpy())
+                text, first, sizes, least = text[own], first[own], windows[own] + window - 1, least[own]
+                ends = np.cumsum(sizes)
+                words = np.arange(sizes.sum()) + np.repeat(first - ends + sizes, sizes)
+                raw = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL])[words]
+                offsets = np.concatenate([[0], ends * SYMBOL]).astype(np.int32)
+                segments = pa.BinaryArray.from_buffers(pa.binary(), len(text), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+                rows = pa.array(text + at.start)
+                start = pa.array((first - places[text]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column("tk").take(rows), b.column("lo").take(rows), start, pa.array(least), segments], ["tk", "lo", "start", "fp", "segment"])
 
     return run
 

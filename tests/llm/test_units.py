@@ -196,3 +196,39 @@ def test_least_of_ranges_is_the_plain_one():
         lo = rng.integers(0, n, 300)
         hi = np.array([rng.integers(x + 1, n + 1) for x in lo])
         assert least(lo, hi).tolist() == [numbers[a:b].min() for a, b in zip(lo, hi, strict=True)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list(" \t\n\x0b\x0c\r\x1c\x85  abé")), max_size=40)), max_size=6))
+def test_words_hash_alike_one_by_one_and_together(texts):
+    import pyarrow as pa
+
+    h, places = jaccard_join.hashed_words(pa.array(texts, pa.string()))
+    assert len(places) == len(texts) + 1
+    for i, t in enumerate(texts):
+        assert h[places[i] : places[i + 1]].tolist() == jaccard_join.word_hashes(t or "").tolist()
+
+
+def test_minimiser_runs_are_those_of_each_text():
+    rng, window = np.random.default_rng(5), 6
+    for lengths in ([], [0], [3, 40, 0, 6, 5, 90], [5, 0, 2], [7]):
+        texts = [rng.integers(0, 2**63, n).astype(np.uint64) for n in lengths]
+        places = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        got = [x.tolist() for x in substring_dedup.minimiser_runs(np.concatenate([np.zeros(0, np.uint64), *texts]), places, window)]
+        want = []
+        for i, t in enumerate(texts):
+            gram = substring_dedup.GRAM
+            for j in range(len(t) - window + 1):
+                least = None
+                for k in range(j, j + window - gram + 1):
+                    g = np.uint64(0)
+                    for w in t[k : k + gram]:
+                        g = np.multiply(g ^ w, substring_dedup._MIX)
+                        g ^= g >> np.uint64(29)
+                    least = int(g) if least is None else min(least, int(g))
+                least = int(np.uint64(least).view(np.int64))
+                if want and want[-1][0] == i and want[-1][3] == least:
+                    want[-1][2] += 1
+                else:
+                    want.append([i, int(places[i]) + j, 1, least])
+        assert [list(x) for x in zip(*got, strict=True)] == want
