@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillmap.fixtures import words_doc, words_inv
+from quillmap.fixtures import lines_inv, words_doc, words_inv, words_of_lines
 from quillmap.operators import layout as y
 from quillmap.operators import quality as q
+from quillmap.operators import whole
 from quillmap.plans.registry import query
 from quillmap.plans.sql import EXTRACTION, REGIONS, ROWS
 
