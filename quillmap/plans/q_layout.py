@@ -56,8 +56,7 @@ def assign_columns(spark, d):
 @query(f"""WITH {WI}, {ROWS}, {_COLS} SELECT c.doc_id, c.page, c.row_id, c.col_idx, coalesce(value, '') AS value FROM (SELECT * FROM (SELECT DISTINCT doc_id, page, row_id FROM rw) JOIN (SELECT doc_id, col_idx FROM cr) USING (doc_id)) c
 LEFT JOIN (SELECT doc_id, page, row_id, col_idx, string_agg(text, ' ' ORDER BY row_pos) value FROM rw JOIN cr USING (doc_id) WHERE x0 >= x_start AND x0 < x_end GROUP BY ALL) v USING (doc_id, page, row_id, col_idx)""", "wi")
 def extract_columns(spark, d):
-    w = words_inv(spark, d)
-    return y.extract_columns(y.detect_rows(w), y.column_ranges(y.detect_columns(w)))
+    return whole.extract_columns(lines_inv(spark, d), words_of_lines)
 
 
 @query(f"WITH {WD}, {ROWS}, f AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page, row_id) c FROM rw) SELECT doc_id, count(DISTINCT page*100000+row_id) AS n_rows, count(*) AS n_words, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM f WHERE c >= 3 GROUP BY doc_id HAVING count(DISTINCT page*100000+row_id) >= 3", "wd")
